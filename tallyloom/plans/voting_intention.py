@@ -108,7 +108,10 @@ def standardise(
     )
     return first_per_key(
         scenarios, ["id_cenario", "nm_candidato"],
-        [F.asc("tabela_idx"), F.asc("coluna_candidato"), F.xxhash64(*scenarios.columns)],
+        [F.asc(c) for c in (
+            "tabela_idx", "nm_instituto_origem", "periodo_texto", "coluna_candidato", "pc_valor",
+            "pc_margem_erro", "_ingerido_em",
+        )],
     )
 
 

@@ -21,16 +21,19 @@ def string_schema(names: Iterable[str]) -> T.StructType:
 
 def read_delimited_text(
     spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "ISO-8859-1",
-    origin: bool = True,
+    origin: bool = True, multi_line: bool = False,
 ) -> DataFrame:
     """All-string scan of delimited files with a header; no value is read as NULL.
 
+    Files are split over tasks; set ``multi_line`` for quoted fields that hold line breaks, which
+    keeps each file in one task.
+
     The header is taken from the files; names are trimmed.  Files with other columns belong in a
     call of their own, joined by :func:`union_parts`.
     """
     df = spark.read.csv(
         path, sep=sep, encoding=encoding, header=True, inferSchema=False, enforceSchema=False,
-        quote='"', escape='"', multiLine=False, emptyValue="", nullValue="\u0000",
+        quote='"', escape='"', multiLine=multi_line, emptyValue="", nullValue="\u0000",
     )
     file_name = F.col("_metadata.file_name").alias(ORIGIN_COLUMN)
     columns = [F.col(f"`{name}`").alias(name.strip()) for name in df.columns]

@@ -75,7 +75,7 @@ def count_devices_stream(visits: DataFrame, ttl: timedelta = REMEMBERED_FOR) ->
 
     Visits are taken in micro-batch order; inside a micro-batch they are ordered by time.
     """
-    keyed = valid_visits(visits).select("id", F.unix_micros("ts").alias("micros")).groupBy("id")
+    keyed = valid_visits(visits).select("id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")).groupBy("id")
     return keyed.transformWithStateInPandas(
         statefulProcessor=DeviceCounter(ttl), outputStructType=COUNTED_SCHEMA,
         outputMode="Append", timeMode="None",
@@ -91,7 +91,7 @@ def count_devices_batch(visits: DataFrame, ttl: timedelta = REMEMBERED_FOR) -> D
     """
     distinct = durable(
         valid_visits(visits).filter(F.col("ts").isNotNull())
-        .select("id", F.unix_micros("ts").alias("micros")).distinct()
+        .select("id", F.unix_micros(F.col("ts").cast("timestamp")).alias("micros")).distinct()
     )
     ttl_micros = _micros(ttl)
 
