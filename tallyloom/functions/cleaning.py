@@ -55,10 +55,22 @@ def positive_int(col: Column, allow_fraction: bool = False) -> Column:
     return F.when(value > 0, value)
 
 
+def _has_shape_of(text: Column, fmt: str) -> Column:
+    """The text has the same kinds of separators as the format.
+
+    A text that fails here cannot parse, and a failed parse costs far more than this test.
+    """
+    tests = [text.contains(mark) if mark in fmt else ~text.contains(mark) for mark in "-/: "]
+    return tests[0] & tests[1] & tests[2] & tests[3]
+
+
 def multi_format_timestamp(col: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
     """The first format that parses wins."""
     cleaned = null_sentinels(col)
-    return F.coalesce(*[F.try_to_timestamp(cleaned, F.lit(fmt)) for fmt in formats])
+    return F.coalesce(*[
+        F.when(_has_shape_of(cleaned, fmt), F.try_to_timestamp(cleaned, F.lit(fmt)))
+        for fmt in formats
+    ])
 
 
 def first_number(col: Column, dtype: str = "decimal(9,2)") -> Column:
@@ -78,9 +90,8 @@ def strip_markup(col: Column) -> Column:
 
 def name_key(col: Column) -> Column:
     """Words in lower case and byte order, joined by a bar; accents are kept."""
-    spaced = F.lower(F.regexp_replace(col.cast("string"), NAME_KEY_PUNCTUATION, " "))
-    words = F.filter(F.split(spaced, " +"), lambda word: word != "")
-    return F.array_join(F.array_sort(words), "|")
+    spaced = F.lower(F.regexp_replace(col.cast("string"), NAME_KEY_PUNCTUATION + "+", " "))
+    return F.array_join(F.sort_array(F.split(F.trim(spaced), " ")), "|")
 
 
 def fold_key(col: Column) -> Column:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def columns_with_suffix(df: DataFrame, suffix: str, excluded: Sequence[str] = ()) -> list[str]:
@@ -35,3 +35,13 @@ def date_series(bounds: DataFrame, first: str, last: str, name: str = "dt") -> D
     """One row per day between two dates, both included."""
     step = F.expr("interval 1 day")
     return bounds.select(F.explode(F.sequence(F.col(first), F.col(last), step)).alias(name))
+
+
+def with_settled(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
+    """Add columns that are expensive to compute and that filters will look at.
+
+    A filter on an ordinary computed column moves below the computation and repeats it, once per
+    mention.  It cannot move below a generator, so here each column is computed once per row.
+    """
+    settled = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.select("*", F.inline(F.array(settled)))

@@ -15,10 +15,16 @@ from tallyloom.operators.entity import canonical_spellings, lookup_by_name_key,
 from tallyloom.operators.joins import lookup_join
 from tallyloom.operators.keys import content_key, member_set_key
 from tallyloom.operators.quality import group_sum_outside
+from tallyloom.operators.reshape import with_settled
 from tallyloom.operators.windows import first_per_key
+from tallyloom.session import durable
 
 # --- fixed values ---------------------------------------------------------------------------
 CELLS_ORIGIN = "wikipedia"
+RAW_COLUMNS = (
+    "tabela_idx", "instituto_texto", "periodo_texto", "amostra_texto", "margem_texto",
+    "coluna_candidato", "valor_texto", "_ingerido_em",
+)
 SHARE_BOUNDS = (0, 100)
 SCENARIO_SUM_BOUNDS = (90, 110)
 FACT_COLUMNS = (
@@ -33,24 +39,24 @@ FACT_COLUMNS = (
 def stage_cells(raw: DataFrame) -> DataFrame:
     """Typed cells with field dates; event rows, artefacts and out-of-range values removed."""
     institute, period = F.col("instituto_texto"), F.col("periodo_texto")
-    cleaned = raw.filter(
+    wanted = raw.filter(
         (F.trim(institute) != "") & (F.trim(period) != "") & (F.trim(institute) != F.trim(period))
-    ).select(
-        F.col("tabela_idx").cast("int").alias("tabela_idx"),
-        strip_markup(institute).alias("nm_instituto_origem"),
-        strip_markup(period).alias("periodo_texto"),
-        strip_markup(F.col("coluna_candidato")).alias("coluna_candidato"),
-        digits_only(strip_markup(F.col("amostra_texto")), "int").alias("qt_amostra"),
-        first_number(strip_markup(F.col("margem_texto")), "decimal(5,2)").alias("pc_margem_erro"),
-        first_number(F.col("valor_texto"), "decimal(9,2)").alias("pc_valor"),
-        "_ingerido_em",
     )
-    kept = (
-        cleaned.withColumn("tp_resposta", classify_answer(F.col("coluna_candidato")))
-        .filter((F.col("tp_resposta") != ARTEFACT) & F.col("pc_valor").between(*SHARE_BOUNDS))
-        .withColumn("__days", period_days(F.col("periodo_texto")))
-        .withColumn("__months", period_months(F.col("periodo_texto")))
-        .filter((F.size("__days") > 0) & (F.size("__months") > 0))
+    cleaned = with_settled(wanted.select(*RAW_COLUMNS), {
+        "tabela": F.col("tabela_idx").cast("int"),
+        "nm_instituto_origem": strip_markup(institute),
+        "periodo": strip_markup(period),
+        "coluna": strip_markup(F.col("coluna_candidato")),
+        "qt_amostra": digits_only(strip_markup(F.col("amostra_texto")), "int"),
+        "pc_margem_erro": first_number(strip_markup(F.col("margem_texto")), "decimal(5,2)"),
+        "pc_valor": first_number(F.col("valor_texto"), "decimal(9,2)"),
+    })
+    kept = with_settled(cleaned.filter(F.col("pc_valor").between(*SHARE_BOUNDS)), {
+        "tp_resposta": classify_answer(F.col("coluna")),
+        "__days": period_days(F.col("periodo")),
+        "__months": period_months(F.col("periodo")),
+    }).filter(
+        (F.col("tp_resposta") != ARTEFACT) & (F.size("__days") > 0) & (F.size("__months") > 0)
     )
     loaded = F.to_date("_ingerido_em")
 
@@ -59,17 +65,23 @@ def stage_cells(raw: DataFrame) -> DataFrame:
         return roll_back_future(plain, loaded)
 
     return kept.select(
-        "tabela_idx", "nm_instituto_origem", "periodo_texto",
+        F.col("tabela").alias("tabela_idx"), "nm_instituto_origem",
+        F.col("periodo").alias("periodo_texto"),
         boundary(1).alias("dt_inicio_campo"), boundary(-1).alias("dt_fim_campo"),
-        "qt_amostra", "pc_margem_erro", "coluna_candidato", "tp_resposta", "pc_valor",
-        "_ingerido_em",
+        "qt_amostra", "pc_margem_erro", F.col("coluna").alias("coluna_candidato"), "tp_resposta",
+        "pc_valor", "_ingerido_em",
     )
 
 
 def standardise(
     cells: DataFrame, institute_map: DataFrame, candidate_map: DataFrame
 ) -> DataFrame:
-    """Standard institute and candidate names, and keys that survive edits of the page."""
+    """Standard institute and candidate names, and keys that survive edits of the page.
+
+    The typed cells are read three times, for spellings, scenario sets and rows, so they are
+    stored first.
+    """
+    cells = durable(cells, "cells")
     spellings = canonical_spellings(cells, "nm_instituto_origem")
     named = with_canonical(cells, "nm_instituto_origem", spellings, "__canonical")
     named = lookup_by_name_key(

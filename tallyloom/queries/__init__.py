@@ -11,7 +11,7 @@ from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.session import tune
+from tallyloom.session import spread, tune
 
 Runner = Callable[[SparkSession, str], DataFrame]
 MODULES = (
@@ -48,6 +48,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table for work that is heavy per row: a scan in few pieces is shared over the cores."""
+    return spread(table(spark, sf_dir, name))
+
+
 def load_all() -> dict[str, Query]:
     import os
     for module in MODULES:

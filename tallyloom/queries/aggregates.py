@@ -60,7 +60,7 @@ def order_profiles(spark, sf_dir):
         F.count(F.lit(1)).alias("qt"), F.min(day).alias("first_day"), F.max(day).alias("last_day"),
         F.max("o_totalprice").cast("decimal(18,2)").alias("largest"),
         # at most five different priorities exist
-        F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ",").alias("priorities"),
+        F.array_join(F.sort_array(F.collect_set("o_orderpriority")), ",").alias("priorities"),
     )
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.functions import classify as K, measures as M
-from tallyloom.queries import query, table
+from tallyloom.queries import query, shared_table, table
 
 
 def _whole_word(*words: str) -> str:
@@ -21,7 +21,7 @@ FROM (SELECT doc_id, lower(text || CASE doc_id % 4 WHEN 0 THEN ' Indecisos' WHEN
 def answer_classes(spark, sf_dir):
     text = F.expr("""text || CASE doc_id % 4 WHEN 0 THEN ' Indecisos' WHEN 1 THEN ' Não sabe'
       WHEN 2 THEN ' Vantagem' ELSE '' END""")
-    documents = table(spark, sf_dir, "documents")
+    documents = shared_table(spark, sf_dir, "documents")
     return documents.select("doc_id", K.classify_answer(text).alias("class"))
 
 
@@ -42,7 +42,7 @@ def method_classes(spark, sf_dir):
     text = F.expr("""text || CASE doc_id % 6 WHEN 0 THEN ' questionário estruturado'
       WHEN 1 THEN ' URA' WHEN 2 THEN ' (CATI)' WHEN 3 THEN ' web.' WHEN 4 THEN ' ponto de fluxo'
       ELSE '' END""")
-    documents = table(spark, sf_dir, "documents")
+    documents = shared_table(spark, sf_dir, "documents")
     return documents.select("doc_id", K.classify_method(text).alias("class"))
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.functions import cleaning as C, periods as P
-from tallyloom.queries import query, table
+from tallyloom.queries import query, shared_table, table
 
 _SENTINEL_TEXT = """CASE o_orderkey % 5 WHEN 0 THEN '  ' WHEN 1 THEN ' #NULO# ' WHEN 3 THEN '#NE'
   WHEN 2 THEN '  ' || o_orderpriority || '   x ' ELSE o_orderpriority END"""
@@ -29,7 +29,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   CASE WHEN l_linenumber <> 7 THEN CAST(l_extendedprice AS DECIMAL(18,2)) END AS price
 FROM lineitem""")
 def locale_decimal(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = shared_table(spark, sf_dir, "lineitem")
     shown = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
     text = F.concat(F.when(F.col("l_linenumber") == 7, " -").otherwise(" "), shown)
     return line.select(
@@ -43,7 +43,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   CASE WHEN l_linenumber >= 3 THEN CAST(l_quantity AS INTEGER) * 1000 END AS lenient
 FROM lineitem""")
 def positive_int(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = shared_table(spark, sf_dir, "lineitem")
     text = F.expr("""CASE l_linenumber WHEN 1 THEN '0' WHEN 2 THEN '-1'
       WHEN 3 THEN cast(cast(l_quantity AS int) AS string) || '.000,00'
       ELSE cast(cast(l_quantity AS int) AS string) || '.000' END""")
@@ -59,7 +59,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   CAST(CAST(l_discount AS DECIMAL(12,8)) * 100 AS DECIMAL(9,4)) AS percent
 FROM lineitem""")
 def fraction_to_percent(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = shared_table(spark, sf_dir, "lineitem")
     text = F.concat(F.lit("   "), F.translate(F.format_number("l_discount", 6), ".", ","))
     fraction = C.locale_decimal(text, "decimal(12,8)")
     return line.select(
@@ -86,7 +86,7 @@ SELECT l_orderkey, l_linenumber, l_partkey,
   CASE WHEN l_linenumber < 7 THEN CAST(l_extendedprice AS DECIMAL(9,2)) END AS number
 FROM lineitem""")
 def first_number(spark, sf_dir):
-    line = table(spark, sf_dir, "lineitem")
+    line = shared_table(spark, sf_dir, "lineitem")
     price = F.col("l_extendedprice").cast("decimal(18,2)").cast("string")
     text = F.when(F.col("l_linenumber") == 7, F.lit("n/a")).otherwise(
         F.concat(F.lit("± "), F.translate(price, ".", ","), F.lit(" p.p. (3)"))
@@ -108,7 +108,7 @@ SELECT doc_id, CAST(coalesce(
   AS INTEGER) AS level
 FROM plans""")
 def confidence_levels(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = shared_table(spark, sf_dir, "documents")
     plan = C.search_text(F.expr(_PLAN_TEXT), F.col("lang"))
     return documents.select("doc_id", C.confidence_level(plan).alias("level"))
 
@@ -177,7 +177,7 @@ SELECT page_id, sha256(clean) AS digest, length(clean) AS size FROM (
   SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(html,
     '<[^>]*>', '', 'g'), '\[[^\]]*\]', '', 'g'), ' +', ' ', 'g'), ' ') AS clean FROM pages)""")
 def strip_markup_pages(spark, sf_dir):
-    clean = table(spark, sf_dir, "pages").select(
+    clean = shared_table(spark, sf_dir, "pages").select(
         "page_id", C.strip_markup(F.col("html")).alias("clean")
     )
     return clean.select(
@@ -190,7 +190,7 @@ SELECT doc_id, sha256(array_to_string(list_sort(list_filter(string_split(
   lower(regexp_replace(text, '[^A-Za-z0-9À-ÿ]', ' ', 'g')), ' '), lambda w: w <> '')), '|')) AS digest
 FROM documents""")
 def name_keys(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
+    documents = shared_table(spark, sf_dir, "documents")
     return documents.select("doc_id", F.sha2(C.name_key(F.col("text")), 256).alias("digest"))
 
 
@@ -199,7 +199,7 @@ SELECT doc_id, sha256(folded) AS digest, length(folded) AS size FROM (
   SELECT doc_id, regexp_replace(lower(translate(text, '{C.ACCENTED}', '{C.UNACCENTED}')),
     '[^a-z0-9]', '', 'g') AS folded FROM documents)""")
 def fold_keys(spark, sf_dir):
-    folded = table(spark, sf_dir, "documents").select(
+    folded = shared_table(spark, sf_dir, "documents").select(
         "doc_id", C.fold_key(F.col("text")).alias("folded")
     )
     return folded.select(

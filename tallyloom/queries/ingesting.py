@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.lines import render_line
 from tallyloom.operators.numbering import number_rows
-from tallyloom.queries import query, table
+from tallyloom.queries import query, shared_table, table
 from tallyloom.session import scratch_path
 from tallyloom.sinks.blocks import write_block
 from tallyloom.sinks.raw_tables import land_table, read_raw
@@ -69,7 +69,7 @@ def _archives(rows):
 @query("zipped_csv", """
 SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS key, 'Seção "' || c_mktsegment || '"' AS label, '' AS absent, 'PART.CSV' AS member FROM customer""")
 def zipped_csv(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select(
+    rows = shared_table(spark, sf_dir, "customer").select(
         F.col("c_name").alias(" name"), F.col("c_custkey").cast("string").alias("key"),
         F.concat(F.lit('Seção "'), "c_mktsegment", F.lit('"')).alias("label"),
     )
@@ -94,7 +94,7 @@ SELECT page_id, '0' AS tabela_idx, r.row_idx, 'Inst ' || page_id || '[1]' AS ins
   CASE WHEN r.row_idx = 1 THEN CAST(page_id AS VARCHAR) WHEN c.name = 'UmPA' THEN length(html) || ',5%' ELSE url END AS valor_texto
 FROM pages, (VALUES (0), (1)) r(row_idx), (VALUES ('UmPA'), ('Dois PB')) c(name)""")
 def html_tables(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", F.expr(_PAGE_TABLES).alias("html"))
+    pages = shared_table(spark, sf_dir, "pages").select("page_id", F.expr(_PAGE_TABLES).alias("html"))
     return extract_html_tables(pages)
 
 

@@ -6,7 +6,7 @@ of the same poll as a web table shows them, with other spellings and no year.
 
 from pyspark.sql import functions as F
 
-from tallyloom.queries import table
+from tallyloom.queries import shared_table, table
 
 # Valid in both dialects.  All days fall in the year before the load.
 BASE = """base AS (
@@ -60,15 +60,19 @@ polls AS (
 
 
 def _views(spark, sf_dir):
-    for name in ("orders", "customer", "nation", "lineitem"):
+    for name in ("customer", "nation"):
         table(spark, sf_dir, name).createOrReplaceTempView(name)
+    for name in ("orders", "lineitem"):
+        shared_table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
 def raw_polls(spark, sf_dir):
     """All-string registered polls; some protocols repeat with an older generation."""
     _views(spark, sf_dir)
-    base = spark.sql(f"WITH {BASE} SELECT * FROM base")
+    base = spark.sql(f"""WITH {BASE} SELECT *, explode(array_compact(array(
+      'current', if(k % 10 = 0, 'older', null), if(k % 40 = 0, 'mirror', null)))) AS version FROM base""")
     k, d = F.col("k"), F.col("d")
+    mirror, older = F.col("version") == "mirror", F.col("version") == "older"
     formats = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd/MM/yyyy HH:mm:ss", "dd/MM/yyyy")
 
     def shown(day):
@@ -81,8 +85,8 @@ def raw_polls(spark, sf_dir):
         return F.expr(f"cast({expression} as int)")
 
     number = k.cast("string")
-    state = F.lit("SP")
-    unit = F.when(k % 3 == 1, state).otherwise("BR")
+    prefix = F.when(mirror, "SP").otherwise("BR")
+    place = F.when(mirror | (k % 3 == 1), "SP").otherwise("BR")
     money = F.translate(F.format_number("price", 2), ",.", ".,")
     sample = F.translate(F.format_number(1000 + (k * 37) % 1500, 0), ",", ".")
     method = F.expr("""CASE k % 6 WHEN 0 THEN ' questionário  estruturado' WHEN 1 THEN 'sistema URA'
@@ -90,40 +94,33 @@ def raw_polls(spark, sf_dir):
     plan = F.expr("""CASE k % 3 WHEN 0 THEN 'Nível de confiança de 95%.'
       WHEN 1 THEN '99,0% de confiança' ELSE 'Sem nível' END""")
 
-    def version(prefix, place, older):
-        return {
-            "NR_PROTOCOLO_REGISTRO": F.concat(F.lit(prefix), F.lpad(number, 9, "0"), F.lit(" ")),
-            "AA_ELEICAO": F.lit("2001"), "CD_ELEICAO": F.lit("#NULO"),
-            "NM_ELEICAO": F.lit("Eleição   Geral"), "SG_UF": F.lower(place), "SG_UE": place,
-            "NM_UE": F.when(place == "SP", "São Paulo").otherwise("Brasil"),
-            "DS_CARGO": F.when(k % 4 == 3, "Governador").otherwise("Presidente"),
-            "NR_CNPJ_EMPRESA": F.concat(F.lit("12.345.678/0001-"), F.lpad(F.col("nk").cast("string"), 2, "0")),
-            "NM_EMPRESA": F.lower(F.concat_ws(" ", "seg", "nation")),
-            "NM_EMPRESA_FANTASIA": F.when(k % 4 == 0, "#NULO#").otherwise(F.concat(F.lit("Fantasia "), "nation")),
-            "CD_CONRE": (k % 100).cast("string"),
-            "NM_ESTATISTICO_RESP": F.concat(F.lit("Resp "), (k % 7).cast("string")),
-            "ST_PESQUISA_PROPRIA": F.when(k % 5 == 0, "s").when(k % 5 == 1, "#NE#").otherwise("N"),
-            "DT_REGISTRO": shown(F.date_add(d, days("k % 4 - 6"))),
-            "DT_INICIO_PESQUISA": shown(F.date_sub(d, days("k % 3"))),
-            "DT_FIM_PESQUISA": shown(F.date_add(d, days("k % 2 - if(k % 31 = 0, 5, 0)"))),
-            "DT_DIVULGACAO": shown(F.date_add(d, days("k % 6 - 1"))),
-            "QT_ENTREVISTADO": F.when(k % 29 == 0, "0").when(k % 30 == 1, "-1").otherwise(sample),
-            "VR_PESQUISA": F.lit("1,00") if older else F.when(k % 24 == 1, "0,00").when(
-                k % 23 == 0, "#NE"
-            ).otherwise(money),
-            "DS_METODOLOGIA_PESQUISA": method, "DS_PLANO_AMOSTRAL": plan,
-            "DS_SISTEMA_CONTROLE": F.lit("controle"), "DS_DADO_MUNICIPIO": F.lit(""),
-            "DT_GERACAO": F.lit("31/08/2001" if older else "01/09/2001"), "HH_GERACAO": F.lit("10:00:00"),
-            "_arquivo_origem": F.lit("polls.csv"),
-            "_ingerido_em": F.lit("2001-09-01 12:00:00").cast("timestamp"),
-        }
-
-    versions = [
-        (base, version("BR", unit, False)), (base.filter(k % 10 == 0), version("BR", unit, True)),
-        (base.filter(k % 40 == 0), version("SP", state, False)),
-    ]
-    parts = [df.select(*[c.alias(n) for n, c in columns.items()]) for df, columns in versions]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    columns = {
+        "NR_PROTOCOLO_REGISTRO": F.concat(prefix, F.lpad(number, 9, "0"), F.lit(" ")),
+        "AA_ELEICAO": F.lit("2001"), "CD_ELEICAO": F.lit("#NULO"),
+        "NM_ELEICAO": F.lit("Eleição   Geral"), "SG_UF": F.lower(place), "SG_UE": place,
+        "NM_UE": F.when(place == "SP", "São Paulo").otherwise("Brasil"),
+        "DS_CARGO": F.when(k % 4 == 3, "Governador").otherwise("Presidente"),
+        "NR_CNPJ_EMPRESA": F.concat(F.lit("12.345.678/0001-"), F.lpad(F.col("nk").cast("string"), 2, "0")),
+        "NM_EMPRESA": F.lower(F.concat_ws(" ", "seg", "nation")),
+        "NM_EMPRESA_FANTASIA": F.when(k % 4 == 0, "#NULO#").otherwise(F.concat(F.lit("Fantasia "), "nation")),
+        "CD_CONRE": (k % 100).cast("string"),
+        "NM_ESTATISTICO_RESP": F.concat(F.lit("Resp "), (k % 7).cast("string")),
+        "ST_PESQUISA_PROPRIA": F.when(k % 5 == 0, "s").when(k % 5 == 1, "#NE#").otherwise("N"),
+        "DT_REGISTRO": shown(F.date_add(d, days("k % 4 - 6"))),
+        "DT_INICIO_PESQUISA": shown(F.date_sub(d, days("k % 3"))),
+        "DT_FIM_PESQUISA": shown(F.date_add(d, days("k % 2 - if(k % 31 = 0, 5, 0)"))),
+        "DT_DIVULGACAO": shown(F.date_add(d, days("k % 6 - 1"))),
+        "QT_ENTREVISTADO": F.when(k % 29 == 0, "0").when(k % 30 == 1, "-1").otherwise(sample),
+        "VR_PESQUISA": F.when(older, "1,00").when(k % 24 == 1, "0,00").when(
+            k % 23 == 0, "#NE"
+        ).otherwise(money),
+        "DS_METODOLOGIA_PESQUISA": method, "DS_PLANO_AMOSTRAL": plan,
+        "DS_SISTEMA_CONTROLE": F.lit("controle"), "DS_DADO_MUNICIPIO": F.lit(""),
+        "DT_GERACAO": F.when(older, "31/08/2001").otherwise("01/09/2001"), "HH_GERACAO": F.lit("10:00:00"),
+        "_arquivo_origem": F.lit("polls.csv"),
+        "_ingerido_em": F.lit("2001-09-01 12:00:00").cast("timestamp"),
+    }
+    return base.select(*[column.alias(name) for name, column in columns.items()])
 
 
 _MONTH_NAMES = ("Jan", "fev", "Mar", "abr", "mai", "jun", "jul", "ago", "set", "Out", "nov", "dez")

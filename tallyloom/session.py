@@ -65,7 +65,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Store ``df`` reliably and cut its lineage, so lost executors cannot change it."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+def durable(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    Cuts lineage, so lost executors cannot change a result that depends on layout or order, and
+    lets several readers share the work, each with only the columns it needs.  The files stay
+    until the folder is cleaned, as checkpoint files do.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Share out a scan that comes in fewer pieces than there are cores.
+
+    A large input is split by the scan itself and is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

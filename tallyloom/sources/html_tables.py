@@ -14,6 +14,8 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.operators.reshape import with_settled
+
 TABLE_CLASS = "wikitable"
 # --- fixed values: words that give a column its role, tried in column order ----------------
 INSTITUTE_WORDS = ("instituto", "contratante", "pesquisa")
@@ -202,9 +204,10 @@ def cells_by_role(rows: DataFrame) -> DataFrame:
         "institute_at": INSTITUTE_WORDS, "period_at": PERIOD_WORDS,
         "sample_at": SAMPLE_WORDS, "margin_at": MARGIN_WORDS,
     }
-    named = rows.withColumn("names", flat_headers(F.col("headers"))).filter(F.size("names") > 0)
-    for role, words in roles.items():
-        named = named.withColumn(role, _first_with(F.col("names"), words))
+    named = with_settled(rows, {"names": flat_headers(F.col("headers"))}).filter(F.size("names") > 0)
+    named = with_settled(
+        named, {role: _first_with(F.col("names"), words) for role, words in roles.items()}
+    )
     taken = F.array_compact(F.array(*roles))
     free = F.array_except(positions, taken)
 
