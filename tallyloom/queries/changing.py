@@ -111,8 +111,8 @@ _TIMES = (datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1))
 
 
 @query("customer_history", """
-WITH c AS (SELECT c_custkey AS k, c_mktsegment AS s1, c_custkey % 7 = 0 AS late, c_custkey % 5 = 0 AS gone,
-    CASE WHEN c_custkey % 3 = 0 THEN NULL WHEN c_custkey % 3 = 1 THEN c_mktsegment ELSE c_mktsegment || '!' END AS s2 FROM customer),
+WITH c AS (SELECT c_custkey AS k, c_mktsegment AS s1, c_nationkey = 3 AS late, c_nationkey IN (5, 10, 15) AS gone,
+    CASE WHEN c_acctbal < 0 THEN NULL WHEN c_acctbal < 5000 THEN c_mktsegment ELSE c_mktsegment || '!' END AS s2 FROM customer),
 v AS (
   SELECT k, s1 AS segment, TIMESTAMP '2024-01-01' AS f, CASE WHEN gone OR s1 IS DISTINCT FROM s2 THEN TIMESTAMP '2024-02-01' END AS t, false AS d FROM c WHERE NOT late
   UNION ALL SELECT k, s2, TIMESTAMP '2024-02-01', NULL, false FROM c WHERE NOT gone AND (late OR s1 IS DISTINCT FROM s2)
@@ -122,11 +122,11 @@ SELECT k AS c_custkey, segment, f AS valid_from, t AS valid_to, d AS is_deleted,
   sha256(concat_ws('|', CAST(k AS VARCHAR), strftime(f, '%Y-%m-%d %H:%M:%S'))) AS version_id FROM v""")
 def customer_history(spark, sf_dir):
     customer = table(spark, sf_dir, "customer")
-    key, segment = F.col("c_custkey"), F.col("c_mktsegment")
-    later = F.when(key % 3 == 1, segment).when(key % 3 == 2, F.concat(segment, F.lit("!")))
+    segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
+    later = F.when(balance >= 5000, F.concat(segment, F.lit("!"))).when(balance >= 0, segment)
     states = (
-        customer.filter(key % 7 != 0).select("c_custkey", segment.alias("segment")),
-        customer.filter(key % 5 != 0).select("c_custkey", later.alias("segment")),
+        customer.filter("c_nationkey <> 3").select("c_custkey", segment.alias("segment")),
+        customer.filter("c_nationkey NOT IN (5, 10, 15)").select("c_custkey", later.alias("segment")),
         customer.select("c_custkey", later.alias("segment")),
     )
     history = empty_history(states[0])

@@ -139,8 +139,8 @@ def header_dates(spark, sf_dir):
     start = F.when(
         F.col("o_orderkey") % 4 > 0, F.date_sub(F.to_date("o_orderdate"), (F.col("o_orderkey") % 6).cast("int"))
     )
-    first = orders.filter(F.col("o_orderkey") % 2 == 0).select(render_line(end, start).alias("linha"))
-    second = orders.filter(F.col("o_orderkey") % 2 != 0).select(
+    first = orders.filter(F.col("o_orderpriority") < "3").select(render_line(end, start).alias("linha"))
+    second = orders.filter(F.col("o_orderpriority") >= "3").select(
         render_line(end, F.lit("x"), start).alias("linha")
     )
     return Q.header_dates_from_lines([(first, 1), (second, 2)])
