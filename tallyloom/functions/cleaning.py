@@ -16,6 +16,7 @@ MARKUP_PATTERNS = (
     r"<[^>]*>",
     r"\[[^\]]*\]",
 )
+MARKUP_SIGNS = r"[=<\[]|  "
 NAME_KEY_PUNCTUATION = "[^A-Za-z0-9À-ÿ]"
 ACCENTED = "ÁÀÂÃÉÊÍÓÔÕÚÇáàâãéêíóôõúç"
 UNACCENTED = "AAAAEEIOOOUCaaaaeeiooouc"
@@ -32,26 +33,29 @@ def null_sentinels(col: Column, sentinels: Sequence[str] = NULL_SENTINELS) -> Co
     return F.when(~trimmed.isin(*sentinels), F.regexp_replace(trimmed, " +", " "))
 
 
-def _without_locale_marks(col: Column) -> Column:
-    no_grouping = F.replace(null_sentinels(col), F.lit("."), F.lit(""))
-    return F.replace(no_grouping, F.lit(","), F.lit("."))
+def _text(col: Column, cleaned: bool) -> Column:
+    return col if cleaned else null_sentinels(col)
 
 
-def locale_decimal(col: Column, dtype: str = "decimal(18,2)") -> Column:
-    """``"96.380,00"`` to a number; every dot is a grouping mark, negative codes are NULL."""
-    value = _without_locale_marks(col).try_cast(dtype)
+def locale_decimal(col: Column, dtype: str = "decimal(18,2)", cleaned: bool = False) -> Column:
+    """``"96.380,00"`` to a number; every dot is a grouping mark, negative codes are NULL.
+
+    Here and below, ``cleaned`` says that the column already went through ``null_sentinels``.
+    """
+    plain = F.translate(_text(col, cleaned), ",.", ".")
+    value = plain.try_cast(dtype)
     return F.when(value >= 0, value)
 
 
-def positive_int(col: Column, allow_fraction: bool = False) -> Column:
+def positive_int(col: Column, allow_fraction: bool = False, cleaned: bool = False) -> Column:
     """Whole number above zero, else NULL.
 
     Text with a decimal part (``"2000,00"``) is NULL unless ``allow_fraction`` is set.
     """
     if allow_fraction:
-        value = locale_decimal(col, "decimal(18,2)").try_cast("int")
+        value = locale_decimal(col, "decimal(18,2)", cleaned).try_cast("int")
     else:
-        value = locale_decimal(col, "int")
+        value = locale_decimal(col, "int", cleaned)
     return F.when(value > 0, value)
 
 
@@ -64,12 +68,13 @@ def _has_shape_of(text: Column, fmt: str) -> Column:
     return tests[0] & tests[1] & tests[2] & tests[3]
 
 
-def multi_format_timestamp(col: Column, formats: Sequence[str] = TIMESTAMP_FORMATS) -> Column:
+def multi_format_timestamp(
+    col: Column, formats: Sequence[str] = TIMESTAMP_FORMATS, cleaned: bool = False
+) -> Column:
     """The first format that parses wins."""
-    cleaned = null_sentinels(col)
+    text = _text(col, cleaned)
     return F.coalesce(*[
-        F.when(_has_shape_of(cleaned, fmt), F.try_to_timestamp(cleaned, F.lit(fmt)))
-        for fmt in formats
+        F.when(_has_shape_of(text, fmt), F.try_to_timestamp(text, F.lit(fmt))) for fmt in formats
     ])
 
 
@@ -81,11 +86,15 @@ def first_number(col: Column, dtype: str = "decimal(9,2)") -> Column:
 
 
 def strip_markup(col: Column) -> Column:
-    """Drop citations, tags and bracketed notes, then collapse spaces."""
-    text = col.cast("string")
+    """Drop citations, tags and bracketed notes, then collapse spaces.
+
+    Most cells hold none of these, which one look at the text tells.
+    """
+    text = stripped = col.cast("string")
     for pattern in MARKUP_PATTERNS:
-        text = F.regexp_replace(text, pattern, "")
-    return F.trim(F.regexp_replace(text, " +", " "))
+        stripped = F.regexp_replace(stripped, pattern, "")
+    stripped = F.regexp_replace(stripped, " +", " ")
+    return F.trim(F.when(text.rlike(MARKUP_SIGNS), stripped).otherwise(text))
 
 
 def name_key(col: Column) -> Column:

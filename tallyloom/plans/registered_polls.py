@@ -14,6 +14,7 @@ from tallyloom.functions.measures import (
     cost_per_unit, day_gap, field_length, theoretical_margin,
 )
 from tallyloom.operators.entity import most_used_per_key
+from tallyloom.operators.reshape import with_settled
 from tallyloom.operators.windows import first_per_key
 
 NOTICE_DAYS = 5
@@ -62,22 +63,35 @@ FACT_COLUMNS = (
 
 
 def _typed(raw: DataFrame) -> DataFrame:
+    """Every raw text is cleaned once; the typed columns read the cleaned text."""
+    sources = [
+        "AA_ELEICAO", "NR_CNPJ_EMPRESA", "QT_ENTREVISTADO", "VR_PESQUISA",
+        *TEXT_COLUMNS.values(), *UPPER_COLUMNS.values(), *DATE_COLUMNS.values(),
+    ]
+    generated = F.concat(F.col("DT_GERACAO"), F.lit(" "), F.col("HH_GERACAO"))
+    texts = {f"t_{source}": null_sentinels(F.col(source)) for source in sources}
+    settled = with_settled(raw, {**texts, "t_generated": null_sentinels(generated)})
+
+    def text(source: str) -> Column:
+        return F.col(f"t_{source}")
+
+    def moment(source: str) -> Column:
+        return multi_format_timestamp(text(source), cleaned=True)
+
     columns: dict[str, Column] = {}
     for name, source in TEXT_COLUMNS.items():
-        columns[name] = null_sentinels(F.col(source))
+        columns[name] = text(source)
     for name, source in UPPER_COLUMNS.items():
-        columns[name] = F.upper(null_sentinels(F.col(source)))
+        columns[name] = F.upper(text(source))
     for name, source in DATE_COLUMNS.items():
-        columns[name] = F.to_date(multi_format_timestamp(F.col(source)))
-    columns["ano_eleicao"] = null_sentinels(F.col("AA_ELEICAO")).try_cast("int")
-    columns["nr_cnpj_empresa"] = digits_only(null_sentinels(F.col("NR_CNPJ_EMPRESA")))
-    columns["ts_registro"] = multi_format_timestamp(F.col("DT_REGISTRO"))
-    columns["qt_entrevistados"] = positive_int(F.col("QT_ENTREVISTADO"))
-    columns["vr_pesquisa"] = locale_decimal(F.col("VR_PESQUISA"))
-    columns["ts_geracao_arquivo_tse"] = multi_format_timestamp(
-        F.concat(F.col("DT_GERACAO"), F.lit(" "), F.col("HH_GERACAO"))
-    )
-    return raw.select(
+        columns[name] = F.to_date(moment(source))
+    columns["ano_eleicao"] = text("AA_ELEICAO").try_cast("int")
+    columns["nr_cnpj_empresa"] = digits_only(text("NR_CNPJ_EMPRESA"))
+    columns["ts_registro"] = moment("DT_REGISTRO")
+    columns["qt_entrevistados"] = positive_int(text("QT_ENTREVISTADO"), cleaned=True)
+    columns["vr_pesquisa"] = locale_decimal(text("VR_PESQUISA"), cleaned=True)
+    columns["ts_geracao_arquivo_tse"] = moment("generated")
+    return settled.select(
         *[column.alias(name) for name, column in columns.items()], "_ingerido_em", "_arquivo_origem"
     )
 

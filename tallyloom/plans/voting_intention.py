@@ -82,17 +82,16 @@ def standardise(
     stored first.
     """
     cells = durable(cells, "cells")
-    spellings = canonical_spellings(cells, "nm_instituto_origem")
-    named = with_canonical(cells, "nm_instituto_origem", spellings, "__canonical")
-    named = lookup_by_name_key(
-        named, "nm_instituto_origem", institute_map,
-        "nm_instituto_origem", "nm_instituto_padronizado", "__mapped",
-    )
+    # The lookup meets the distinct spellings, so rows are joined once and need no key.
+    spellings = lookup_by_name_key(
+        canonical_spellings(cells, "nm_instituto_origem"), "spelling", institute_map,
+        "nm_instituto_origem", "nm_instituto_padronizado", "mapped",
+    ).select("spelling", F.coalesce("mapped", "canonical").alias("canonical"))
+    named = with_canonical(cells, "nm_instituto_origem", spellings, "nm_instituto")
     is_candidate = F.col("tp_resposta") == CANDIDATE
     name, party = split_trailing_token(F.col("coluna_candidato"))
     split = named.select(
-        *cells.columns,
-        F.coalesce("__mapped", "__canonical").alias("nm_instituto"),
+        *cells.columns, "nm_instituto",
         F.when(is_candidate, name).alias("nm_candidato_origem"),
         F.when(is_candidate, party).alias("sg_partido"),
     )
