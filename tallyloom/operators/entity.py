@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tallyloom.functions.cleaning import name_key
 from tallyloom.operators.joins import lookup_join
 from tallyloom.operators.windows import first_per_key
+from tallyloom.session import durable
 
 
 def canonical_spellings(
@@ -18,7 +19,8 @@ def canonical_spellings(
     """Map every spelling to the most used spelling with the same key, ties alphabetical.
 
     Rows collapse to distinct spellings before any key is computed, so the work after the first
-    aggregate depends on the vocabulary only.
+    aggregate depends on the vocabulary only.  The map is stored, so its real size decides how it
+    is joined: a small one is broadcast and the rows stay where they are.
     """
     spellings = (
         df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("__uses"))
@@ -28,11 +30,14 @@ def canonical_spellings(
     winners = spellings.groupBy("__key").agg(
         F.min_by("__clean", F.struct(-F.col("__uses"), F.col("__clean"))).alias("canonical")
     )
-    return spellings.join(winners, "__key").select(F.col(column).alias("spelling"), "canonical")
+    return durable(
+        spellings.join(winners, "__key").select(F.col(column).alias("spelling"), "canonical"),
+        "spellings",
+    )
 
 
 def with_canonical(df: DataFrame, column: str, spellings: DataFrame, name: str) -> DataFrame:
-    """Attach the canonical spelling; adaptive execution broadcasts the map if it is small."""
+    """Attach the canonical spelling; Spark broadcasts the map if its size allows."""
     mapped = spellings.withColumnsRenamed({"spelling": "__spelling", "canonical": name})
     return df.join(mapped, df[column] == mapped["__spelling"], "left").drop("__spelling")
 

@@ -8,6 +8,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tallyloom.session import durable
+
 BROADCAST_ROW_LIMIT = 20_000
 
 
@@ -41,15 +43,17 @@ def same_group(left: DataFrame, right: DataFrame, pairs: Mapping[str, str]) -> C
 def attach_group_values(df: DataFrame, keys: Sequence[str], **values: Column) -> DataFrame:
     """Add per-group aggregates to every row; NULL keys form one group.
 
-    The aggregate is combined before its shuffle and holds one row per group, and the join back
-    is splittable, so a group with a large part of all rows is never gathered in one task as it
-    would be by a window over that group.
+    The aggregate is combined before its shuffle, holds one row per group and is stored.  Its real
+    size then decides the join: few groups are broadcast and the rows stay where they are, many
+    groups take a shuffled join that is split where it is skewed.  A group with a large part of
+    all rows is never gathered in one task, as it would be by a window over that group.
     """
     renamed = {key: f"__group_{key}" for key in keys}
-    per_group = (
+    per_group = durable(
         df.groupBy(*keys)
         .agg(*[value.alias(name) for name, value in values.items()])
-        .withColumnsRenamed(renamed)
+        .withColumnsRenamed(renamed),
+        "groups",
     )
     return df.join(per_group, same_group(df, per_group, renamed), "left").drop(*renamed.values())
 
