@@ -24,8 +24,7 @@ HEADLINE = (
     "leader_and_runner_up", "rescaled_polls", "largest_remainders", "orders_fingerprint",
     "customer_history", "table_checks", "delimited_text", "zipped_csv", "html_tables",
     "devices_counted_batch", "devices_counted_stream", "visits_per_day_stream", "staged_polls",
-    "polls_fact", "institute_dimension", "intention_fact", "votes_before_link", "registry_links",
-    "first_round_polls", "duels", "panel_row",
+    "polls_fact", "institute_dimension", "intention_fact", "registry_links", "panel_row",
 )
 
 
