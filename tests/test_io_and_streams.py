@@ -89,9 +89,9 @@ def test_sources_and_seeds(spark, tmp_path):
 
 
 def test_layers(spark):
-    assert database_name("marts", "dbt_x", True) == "marts"
-    assert database_name("marts", "dbt_x", False) == "dbt_x_marts"
-    assert database_name(None, "dbt_x", True) == "dbt_x"
+    assert database_name("marts", "me", True) == "marts"
+    assert database_name("marts", "me", False) == "me_marts"
+    assert database_name(None, "me", True) == "me"
     assert is_production("prod") and is_production("dev", "PROD") and not is_production("dev")
     assert LAYERS["staging"].stored_as == "view" and NOTICE_DAYS == 5
     name = materialise(spark.range(3), "staging", "t", "me", False)
