@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tallyloom.session import tune
 
 Runner = Callable[[SparkSession, str], DataFrame]
-MODULES = ("license_scan", "exact_dedup", "source_mix", "decontamination")
+MODULES = (
+    "license_scan", "exact_dedup", "source_mix", "html_blocks", "decontamination", "ngram_join",
+    "toxicity", "language_id", "token_rollup",
+)
 QUERIES: dict[str, Runner] = {}
 SQL: dict[str, str] = {}
 
