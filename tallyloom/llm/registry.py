@@ -11,7 +11,7 @@ from tallyloom.session import tune
 
 Runner = Callable[[SparkSession, str], DataFrame]
 MODULES = (
-    "license_scan", "exact_dedup", "source_mix", "html_blocks", "decontamination", "ngram_join",
+    "license_scan", "exact_dedup", "source_mix", "html_blocks", "decontamination", "ngram_join", "passage_dedup",
     "toxicity", "language_id", "token_rollup",
 )
 QUERIES: dict[str, Runner] = {}
