@@ -18,8 +18,9 @@ _SLICE_SUMS = ", ".join(
 
 
 @query("orders_fingerprint", f"""
-WITH r AS (SELECT sha256(concat_ws(chr(31), CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR),
-  coalesce(nullif(o_orderstatus, 'P'), chr(0)), strftime(o_orderdate, '%Y-%m-%d'))) AS h FROM orders)
+WITH t AS (SELECT unnest([CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), nullif(o_orderstatus, 'P'),
+    strftime(o_orderdate, '%Y-%m-%d')]) AS v, generate_subscripts([1, 2, 3, 4], 1) AS nr, o_orderkey FROM orders),
+r AS (SELECT sha256(string_agg(coalesce(length(v) || ':' || v, '-'), '' ORDER BY nr)) AS h FROM t GROUP BY o_orderkey)
 SELECT sha256(concat_ws('|', CAST(count(*) AS VARCHAR), {_SLICE_SUMS})) AS fingerprint, count(*) AS row_count FROM r""")
 def orders_fingerprint(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select(

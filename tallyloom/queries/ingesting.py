@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.lines import render_line
 from tallyloom.operators.numbering import number_rows
 from tallyloom.queries import query, shared_table, table
-from tallyloom.session import scratch_path
+from tallyloom.session import durable, scratch_path
 from tallyloom.sinks.blocks import write_block
 from tallyloom.sinks.raw_tables import land_table, read_raw
 from tallyloom.sources.blocks import parse_lines, read_block
@@ -51,29 +51,32 @@ def delimited_text(spark, sf_dir):
 
 
 def _archives(rows):
-    """One zip archive per incoming batch, with a member that is not CSV."""
+    """Zip archives, one per incoming batch: two members with different columns and a text file."""
 
     def pack(batches):
-        for number, batch in enumerate(batches):
+        for batch in batches:
             buffer = io.BytesIO()
             with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                 archive.writestr("leia-me.txt", "not a table")
-                archive.writestr(
-                    "PART.CSV", batch.to_csv(index=False, sep=";").encode("latin-1")
-                )
-            yield pd.DataFrame({"path": [f"a{number}.zip"], "content": [buffer.getvalue()]})
+                for member, part in (("PART.CSV", batch[batch["odd"] == 0]), ("more.csv", batch[batch["odd"] == 1])):
+                    part = part.drop(columns=["odd"] if member == "PART.CSV" else ["odd", "label"])
+                    archive.writestr(member, part.to_csv(index=False, sep=";").encode("latin-1"))
+            yield pd.DataFrame({"path": [f"{batch['key'].iloc[0]}.zip"], "content": [buffer.getvalue()]})
 
     return rows.mapInPandas(pack, "path string, content binary")
 
 
 @query("zipped_csv", """
-SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS key, 'Seção "' || c_mktsegment || '"' AS label, '' AS absent, 'PART.CSV' AS member FROM customer""")
+SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 2 = 0 THEN 'Seção "' || c_mktsegment || '"' || chr(10) || 'b;' ELSE '' END AS label,
+  CASE WHEN c_custkey % 2 = 0 THEN 'PART.CSV' ELSE 'more.csv' END AS member FROM customer""")
 def zipped_csv(spark, sf_dir):
+    """Stored archives, columns found in the members, with line breaks and separators in quotes."""
     rows = shared_table(spark, sf_dir, "customer").select(
         F.col("c_name").alias(" name"), F.col("c_custkey").cast("string").alias("key"),
-        F.concat(F.lit('Seção "'), "c_mktsegment", F.lit('"')).alias("label"),
+        F.concat(F.lit('Seção "'), "c_mktsegment", F.lit('"\nb;')).alias("label"),
+        F.pmod("c_custkey", F.lit(2)).alias("odd"),
     )
-    read = rows_of_archives(_archives(rows), ["name", "key", "label", "absent"])
+    read = rows_of_archives(durable(_archives(rows), "archives"))
     return read.withColumnRenamed(ORIGIN_COLUMN, "member")
 
 
@@ -114,12 +117,13 @@ def raw_landing(spark, sf_dir):
 
 
 @query("landing_outcomes", """
-SELECT 'customer' AS source, 'ok' AS status, count(*) AS rows FROM customer
-UNION ALL SELECT 'nothing', 'failed', NULL FROM (SELECT 1) UNION ALL SELECT 'broken', 'failed', NULL FROM (SELECT 1)
-UNION ALL SELECT 'supplier', 'ok', count(*) FROM supplier""")
+SELECT 'customer' AS source, 'ok' AS status, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM customer
+UNION ALL SELECT 'nothing', 'failed', NULL, NULL FROM (SELECT 1)
+UNION ALL SELECT 'broken', 'failed', NULL, repeat('source is not available ', 200) FROM (SELECT 1)
+UNION ALL SELECT 'supplier', 'ok', count(*), NULL FROM supplier""")
 def landing_outcomes(spark, sf_dir):
     def broken():
-        raise OSError("source is not available")
+        raise OSError("source is not available " * 200)
 
     customer, supplier = (table(spark, sf_dir, n) for n in ("customer", "supplier"))
     registry = {
@@ -129,7 +133,9 @@ def landing_outcomes(spark, sf_dir):
     outcome = land_sources(
         spark, registry, scratch_path(spark, "landing"), "customer, nothing,broken,supplier"
     )
-    return outcome.select("source", "status", "rows")
+    # The text of a refused empty extract is not part of the comparison.
+    shown = F.when(F.col("source") != "nothing", F.col("error"))
+    return outcome.select("source", "status", "rows", shown.alias("error"))
 
 
 @query("stored_block", """

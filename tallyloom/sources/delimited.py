@@ -21,19 +21,21 @@ def string_schema(names: Iterable[str]) -> T.StructType:
 
 def read_delimited_text(
     spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "ISO-8859-1",
-    origin: bool = True, multi_line: bool = False,
+    origin: bool = True, multi_line: bool = True,
 ) -> DataFrame:
     """All-string scan of delimited files with a header; no value is read as NULL.
 
-    Files are split over tasks; set ``multi_line`` for quoted fields that hold line breaks, which
-    keeps each file in one task.
+    A line with more or fewer values than the header fails the read.  Quoted fields may hold line
+    breaks, so a file is one task; pass ``multi_line=False`` to split files known to have none.
 
     The header is taken from the files; names are trimmed.  Files with other columns belong in a
     call of their own, joined by :func:`union_parts`.
     """
-    df = spark.read.csv(
+    # Without pruning every line is checked in full, whatever columns are used later.
+    reader = spark.read.option("columnPruning", "false")
+    df = reader.csv(
         path, sep=sep, encoding=encoding, header=True, inferSchema=False, enforceSchema=False,
-        quote='"', escape='"', multiLine=multi_line, emptyValue="", nullValue="\u0000",
+        quote='"', escape='"', multiLine=multi_line, emptyValue="", nullValue="\u0000", mode="FAILFAST",
     )
     file_name = F.col("_metadata.file_name").alias(ORIGIN_COLUMN)
     columns = [F.col(f"`{name}`").alias(name.strip()) for name in df.columns]
@@ -41,44 +43,65 @@ def read_delimited_text(
     return filled.fillna("")
 
 
+def _members(path: str, content: bytes, sep: str, encoding: str) -> Iterator[tuple[str, list[str], Iterator[list[str]]]]:
+    """Name, header and further records of each CSV member."""
+    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        members = [m for m in archive.namelist() if m.lower().endswith(".csv")]
+        if not members:
+            raise ValueError(f"no CSV member in {path}")
+        for member in members:
+            with archive.open(member) as raw:
+                reader = csv.reader(io.TextIOWrapper(raw, encoding=encoding, newline=""), delimiter=sep)
+                yield member, [name.strip() for name in next(reader, [])], reader
+
+
+def member_columns(archives: DataFrame, sep: str = ";", encoding: str = "latin-1") -> list[str]:
+    """All column names of all members, in code-point order; reads the headers only."""
+
+    def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, content in zip(batch["path"], batch["content"]):
+                names = {n for _, header, _ in _members(path, content, sep, encoding) for n in header}
+                yield pd.DataFrame({"name": sorted(names)})
+
+    found = archives.select("path", "content").mapInPandas(headers, "name string").distinct()
+    return sorted(row["name"] for row in found.collect())
+
+
 def rows_of_archives(
-    archives: DataFrame, columns: Sequence[str], sep: str = ";", encoding: str = "latin-1"
+    archives: DataFrame, columns: Sequence[str] | None = None, sep: str = ";", encoding: str = "latin-1"
 ) -> DataFrame:
     """CSV members of zip archives as all-string rows, with the member name.
 
-    ``archives`` has ``path`` and ``content``.  One archive is one row and streams through its
-    task member by member; members that are not CSV are skipped, an archive without any is an
-    error.  Columns absent from a member are empty.
+    ``archives`` has ``path`` and ``content``.  Without ``columns`` a first pass over the headers
+    finds all of them.  One archive is one row and streams through its task member by member;
+    members that are not CSV are skipped, an archive without any is an error.  Columns absent from a
+    member are empty.  A member with a column that is not listed is an error, and so is a row with
+    more or fewer values than its header.
     """
-    names = list(columns)
+    names = list(columns) if columns is not None else member_columns(archives, sep, encoding)
     schema = string_schema([*names, ORIGIN_COLUMN])
 
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    members = [m for m in archive.namelist() if m.lower().endswith(".csv")]
-                    if not members:
-                        raise ValueError(f"no CSV member in {path}")
-                    for member in members:
-                        with archive.open(member) as raw:
-                            text = io.TextIOWrapper(raw, encoding=encoding, newline="")
-                            yield from _frames(csv.reader(text, delimiter=sep), names, member)
+                for member, header, reader in _members(path, content, sep, encoding):
+                    yield from _frames(reader, header, names, member)
 
     return archives.select("path", "content").mapInPandas(parse, schema)
 
 
-def _frames(reader, names: list[str], member: str) -> Iterator[pd.DataFrame]:
-    header = [name.strip() for name in next(reader, [])]
+def _frames(reader: Iterator[list[str]], header: list[str], names: list[str], member: str) -> Iterator[pd.DataFrame]:
+    if unknown := sorted(set(header) - set(names)):
+        raise ValueError(f"{member} has columns that are not listed: {unknown}")
     places = [header.index(name) if name in header else None for name in names]
     rows: list[list[str]] = []
-    for record in reader:
+    for number, record in enumerate(reader, 1):
         if not record:
             continue
-        width = len(record)
-        rows.append(
-            [record[i] if i is not None and i < width else "" for i in places] + [member]
-        )
+        if len(record) != len(header):
+            raise ValueError(f"record {number} of {member} has {len(record)} values, its header {len(header)}")
+        rows.append([record[i] if i is not None else "" for i in places] + [member])
         if len(rows) == _BATCH_ROWS:
             yield pd.DataFrame(rows, columns=[*names, ORIGIN_COLUMN])
             rows = []
@@ -87,7 +110,7 @@ def _frames(reader, names: list[str], member: str) -> Iterator[pd.DataFrame]:
 
 
 def read_zipped_csv(
-    spark: SparkSession, path: str, columns: Sequence[str], sep: str = ";", encoding: str = "latin-1"
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ";", encoding: str = "latin-1"
 ) -> DataFrame:
     """CSV members of every zip archive under ``path``; archives are spread over the tasks."""
     archives = spark.read.format("binaryFile").load(path)

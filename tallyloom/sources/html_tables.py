@@ -53,7 +53,7 @@ class _TableWalk(HTMLParser):
             elif tag in ("td", "th") and table["rows"]:
                 table["cell"] = {
                     "th": tag == "th", "text": [],
-                    "rows": _span(attrs.get("rowspan")), "cols": _span(attrs.get("colspan")),
+                    "rows": _span(attrs.get("rowspan"), MAX_ROWSPAN), "cols": _span(attrs.get("colspan"), MAX_COLSPAN),
                 }
                 table["rows"][-1]["cells"].append(table["cell"])
 
@@ -73,8 +73,29 @@ class _TableWalk(HTMLParser):
             self.open[-1]["cell"]["text"].append(data)
 
 
-def _span(value: str | None) -> int:
-    return int(value) if value and value.isdigit() and int(value) > 0 else 1
+# --- fixed values: the largest spans that HTML allows --------------------------------------
+MAX_COLSPAN, MAX_ROWSPAN = 1000, 65534
+# -------------------------------------------------------------------------------------------
+
+
+def _span(value: str | None, most: int) -> int:
+    value = (value or "").strip()
+    if not (value.isascii() and value.isdigit()) or not value.strip("0"):
+        return 1
+    return most if len(value) > 9 else min(int(value), most)
+
+
+def _tables(html: str, css_class: str) -> list[dict]:
+    """Tables of the page as far as it can be read; broken declarations count as text."""
+    parser = _TableWalk(css_class)
+    try:
+        parser.feed(html)
+        parser.close()
+    except AssertionError:  # what the standard parser raises on an unknown marked section
+        parser = _TableWalk(css_class)
+        parser.feed(re.sub(r"<!\[", "&lt;![", html))
+        parser.close()
+    return parser.tables
 
 
 def _grid(rows: list[dict]) -> list[list[str]]:
@@ -125,12 +146,9 @@ def read_table_rows(
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for page_id, html in zip(batch["page_id"], batch["html"]):
-                parser = _TableWalk(css_class)
-                parser.feed(html)
-                parser.close()
                 found = [
                     record
-                    for index, table in enumerate(parser.tables)
+                    for index, table in enumerate(_tables(html, css_class))
                     for record in _table_rows(page_id, index, table["rows"])
                 ]
                 if found:

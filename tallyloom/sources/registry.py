@@ -35,5 +35,5 @@ def land_sources(
             rows = land_table(registry[name](), root, name, publish=publish)
             outcome.append((name, "ok", rows, None))
         except Exception as failure:  # any failure is reported, and the next source still runs
-            outcome.append((name, "failed", None, str(failure)[:2000]))
+            outcome.append((name, "failed", None, str(failure)))
     return spark.createDataFrame(outcome, "source string, status string, rows long, error string")

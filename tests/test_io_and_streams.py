@@ -12,7 +12,7 @@ from tallyloom.plans.registered_polls import NOTICE_DAYS
 from tallyloom.session import scratch_path, spread
 from tallyloom.sinks.blocks import block_text
 from tallyloom.sinks.raw_tables import clean_column_names, land_table
-from tallyloom.sources.delimited import ORIGIN_COLUMN, read_zipped_csv
+from tallyloom.sources.delimited import ORIGIN_COLUMN, read_delimited_text, read_zipped_csv
 from tallyloom.sources.html_tables import extract_html_tables, flat_headers, read_table_rows
 from tallyloom.sources.registry import select_sources
 from tallyloom.sources.seeds import REGISTERED_CANDIDATES_SCHEMA, read_seed
@@ -67,7 +67,7 @@ def test_zip_members(spark, tmp_path):
     assert got == {("x;1", "", "um.csv"), ("á", "NA", "um.csv"), ("", "7", "dois.CSV")}
     archive("b.zip", {"nota.txt": "?"})
     with pytest.raises(Exception, match="no CSV member"):
-        read_zipped_csv(spark, str(tmp_path), ["A"]).collect()
+        read_zipped_csv(spark, str(tmp_path), ["A", "B"]).collect()
 
 
 def test_column_names():
@@ -101,8 +101,36 @@ def test_layers(spark):
 def test_block_limit(spark):
     lines = spark.createDataFrame([(2, "b"), (1, "a")], "nr_ordem long, linha string")
     assert block_text(lines, "block").first()["block"] == "a\nb"
-    with pytest.raises(Exception, match="more than 1 lines"):
-        block_text(lines, "block", max_lines=1).collect()
+
+
+def test_malformed_lines_fail_and_line_breaks_stay(spark, tmp_path):
+    (tmp_path / "ok.csv").write_text('a;b;c\n1;"x\ny";3\n', encoding="latin-1")
+    assert [tuple(r)[:3] for r in read_delimited_text(spark, str(tmp_path / "ok.csv")).collect()] == [("1", "x\ny", "3")]
+    for name, line in (("wide.csv", "2;p;q;extra"), ("short.csv", "2;p")):
+        (tmp_path / name).write_text(f"a;b;c\n1;x;3\n{line}\n", encoding="latin-1")
+        with pytest.raises(Exception):
+            read_delimited_text(spark, str(tmp_path / name)).collect()
+
+
+def test_member_columns_are_found_and_loss_is_an_error(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("one.csv", "A;B\n1;2\n")
+        z.writestr("two.csv", "A;NEW\n3;4\n")
+    got = {(r.A, r.B, r.NEW) for r in read_zipped_csv(spark, str(tmp_path)).collect()}
+    assert got == {("1", "2", ""), ("3", "", "4")}
+    with pytest.raises(Exception, match="not listed"):
+        read_zipped_csv(spark, str(tmp_path), ["A", "B"]).collect()
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("one.csv", "A;B\n1;2;3\n")
+    with pytest.raises(Exception, match="has 3 values"):
+        read_zipped_csv(spark, str(tmp_path)).collect()
+
+
+def test_broken_pages_keep_their_tables(spark):
+    table = ('<table class="wikitable"><tr><th>Instituto</th><th>Data</th><th>A</th></tr>'
+             '<tr><td rowspan="²">I</td><td colspan="{span}">d</td><td>1</td></tr></table>')
+    rows = extract_html_tables(pages(spark, "<![foo[x]]>" + table.format(span=1), table.format(span=2_000_000))).collect()
+    assert {(r.page_id, r.instituto_texto, r.valor_texto) for r in rows if r.coluna_candidato == "A"} == {(0, "I", "1"), (1, "I", "d")}
 
 
 def test_calendar(spark):
