@@ -18,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.text import ascii_word_count, ascii_words, let
+from tallyloom.llm.text import ascii_word_count, ascii_words, let, row_name, unused
 from tallyloom.session import durable
 
 WINDOW = 10
@@ -159,11 +159,11 @@ def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", ite
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """The documents without any hit, with all their columns."""
-    hits = hit_windows(docs, items, id_col, item_col).select(
-        F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "text_hash").alias("__row")
-    ).distinct()
-    row = F.concat_ws("-", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("none")), F.xxhash64("text"))
-    return docs.withColumn("__row", row).join(hits, "__row", "left_anti").drop("__row")
+    row = unused(docs, "__row")
+    hits = hit_windows(docs, items, id_col, item_col)
+    hits = hits.select(row_name(F.col("doc_id"), F.col("text_hash")).alias(row)).distinct()
+    named = docs.withColumn(row, row_name(F.col(id_col), F.xxhash64("text")))
+    return named.join(hits, row, "left_anti").drop(row)
 
 
 SQL = r"""

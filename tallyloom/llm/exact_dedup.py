@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.text import one_space
+from tallyloom.llm.text import one_space, row_name, unused
 
 RECORD = "hash long, content string, keep_id long, group_size long"
 TABLE_BYTES = 64 << 20
@@ -175,16 +175,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", budget: int = TABLE_BYT
     Of rows that repeat an id with the same text, the one with the smallest row hash stays.
     """
     names = docs.columns
-    key = lambda sha, doc: F.concat_ws("-", sha, F.coalesce(doc.cast("string"), F.lit("none")))
+    row, content, place = (unused(docs, n) for n in ("__row", "__content", "__place"))
     keepers = content_classes(docs, id_col, budget=budget).select(
-        key(F.col("text_sha256"), F.col("keep_id")).alias("__key")
+        row_name(F.col("keep_id"), F.col("text_sha256")).alias(row)
     )
     sha = F.sha2(one_space(F.col("text")), 256)
-    first = F.row_number().over(Window.partitionBy("__key").orderBy("__content"))
-    rows = docs.withColumns({
-        "__key": key(sha, F.col(id_col).cast("long")), "__content": F.xxhash64(*names)
-    })
-    return rows.join(keepers, "__key").withColumn("__first", first).where("__first = 1").select(*names)
+    first = F.row_number().over(Window.partitionBy(row).orderBy(content))
+    rows = docs.withColumns({row: row_name(F.col(id_col), sha), content: F.xxhash64(*names)})
+    return rows.join(keepers, row).withColumn(place, first).where(F.col(place) == 1).select(*names)
 
 
 SQL = r"""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 UPPER, LOWER = string.ascii_uppercase, string.ascii_lowercase
 
@@ -49,3 +49,16 @@ def word_count(text: Column) -> Column:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once, however often the body names it."""
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until the table has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def row_name(id_: Column, text_hash: Column) -> Column:
+    """A document's id and text hash as one value that is never null."""
+    return F.concat_ws("-", F.coalesce(id_.cast("long").cast("string"), F.lit("none")), text_hash)
