@@ -10,27 +10,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyloom.session import durable
 
-BROADCAST_ROW_LIMIT = 20_000
-
-
-def broadcast_if_small(lookup: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Hint a broadcast after counting; a larger lookup is left to a shuffled join.
-
-    The count stops at ``max_rows + 1`` rows.
-    """
-    if lookup.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(lookup)
-    return lookup
-
-
 def lookup_join(df: DataFrame, lookup: DataFrame, on: Mapping[str, str]) -> DataFrame:
     """Left equi-join; ``on`` maps a column of ``df`` to one of ``lookup``.
 
-    NULL never matches.  The lookup's key columns are dropped from the result, and its size is
-    checked before it is broadcast.
+    NULL never matches.  The lookup's key columns are dropped from the result.  Its size in bytes at
+    run time decides whether it is broadcast, so nothing is counted while the plan is made.
     """
     keys = {right: f"__lookup_{right}" for right in on.values()}
-    renamed = broadcast_if_small(lookup.withColumnsRenamed(keys))
+    renamed = lookup.withColumnsRenamed(keys)
     condition = reduce(and_, [df[left] == renamed[keys[right]] for left, right in on.items()])
     return df.join(renamed, condition, "left").drop(*keys.values())
 
@@ -67,7 +54,7 @@ def count_unlisted(
     Further ``counts`` are conditional counts over the same groups.
     """
     members = listed.select(F.col(listed_column).alias("__listed")).distinct()
-    members = broadcast_if_small(members.filter(F.col("__listed").isNotNull()))
+    members = members.filter(F.col("__listed").isNotNull())
     joined = df.join(members, df[member] == members["__listed"], "left")
     unlisted = relevant & F.col(member).isNotNull() & F.col("__listed").isNull()
     return joined.groupBy(*keys).agg(

@@ -78,8 +78,7 @@ def standardise(
 ) -> DataFrame:
     """Standard institute and candidate names, and keys that survive edits of the page.
 
-    The typed cells are read three times, for spellings, scenario sets and rows, so they are
-    stored first.
+    The typed cells are read for spellings and for rows, so they are stored first.
     """
     cells = durable(cells, "cells")
     # The lookup meets the distinct spellings, so rows are joined once and need no key.
@@ -114,6 +113,8 @@ def standardise(
             F.coalesce("qt_amostra", F.lit(0)),
         ),
     }).drop("__standard", "__review")
+    # Read for the sets and for the rows; the joins and keys before it are worth one write.
+    keyed = durable(keyed, "keyed-cells")
     scenarios = member_set_key(
         keyed, ["tabela_idx", "id_pesquisa"], "nm_candidato", "id_pesquisa", "id_cenario"
     )

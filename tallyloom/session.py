@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -46,7 +48,8 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A machine-local folder is made up only for a local session that names none.
+    A machine-local folder is made up only for a local session that names none, and goes when the
+    driver ends.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -55,6 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="tallyloom-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     if current is None:
         context.setCheckpointDir(named)
     return named or current
