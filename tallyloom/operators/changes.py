@@ -94,10 +94,14 @@ def reconcile(
 
     ``reference``: ``cid, doc_id`` (one per cid); ``current``: ``cid, doc_id`` (any number, or
     NULL when the entry has no document); ``previous``: ``cid, desde`` of changes still open.
-    Returns ``cid, status, used_doc, desde`` for ``changed`` (the used document is not on file),
-    ``only_current`` and ``only_reference``; a change keeps the day it was first seen.
+    Returns ``cid, status, used_doc, desde, current_docs`` for ``changed`` (the used document is not
+    on file), ``only_current`` and ``only_reference``; a change keeps the day it was first seen.
+    ``current_docs`` lists the documents now on file of a changed or new entry, sorted, by comma.
     """
-    listed = current.groupBy("cid").agg(F.count(F.lit(1)).alias("entries"))
+    listed = current.groupBy("cid").agg(
+        F.count(F.lit(1)).alias("entries"),
+        F.array_join(F.array_sort(F.collect_set("doc_id")), ",").alias("current_docs"),
+    )
     on_file = current.select("cid", F.col("doc_id").alias("used_doc")).distinct()
     used = reference.select("cid", F.col("doc_id").alias("used_doc"))
     still_there = used.join(on_file, ["cid", "used_doc"], "left_semi").select(
@@ -119,7 +123,10 @@ def reconcile(
     )
     return (
         joined.withColumn("status", status).filter(F.col("status").isNotNull())
-        .select("cid", "status", "used_doc", since.alias("desde"))
+        .select(
+            "cid", "status", "used_doc", since.alias("desde"),
+            F.when(F.col("status") != "only_reference", F.col("current_docs")).alias("current_docs"),
+        )
     )
 
 

@@ -7,7 +7,8 @@ from datetime import datetime
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 BOOKKEEPING = ("version_id", "valid_from", "valid_to", "is_deleted")
 
@@ -72,10 +73,44 @@ def apply_snapshot(
     return closed.select(*columns, *BOOKKEEPING).unionByName(moved)
 
 
+_OPEN, _CLOSED, _CURRENT = "open", "closed", "current"
+
+
+def _published_states(spark: SparkSession, root: str) -> list[str]:
+    try:
+        states = spark.read.schema("state string").parquet(f"{root}/{_CURRENT}").distinct().collect()
+    except AnalysisException as missing:  # nothing is published before the first state
+        if "PATH_NOT_FOUND" not in str(missing):
+            raise
+        return []
+    return sorted(row["state"] for row in states)
+
+
 def publish_history(history: DataFrame, root: str, as_of: datetime) -> str:
-    """Write a new version directory; readers move on only after it is complete."""
-    path = f"{root.rstrip('/')}/as_of={as_of:%Y%m%dT%H%M%S}"
-    history.withColumn("is_open", F.col("valid_to").isNull()).write.mode("overwrite").partitionBy(
-        "is_open"
-    ).parquet(path)
-    return path
+    """Publish the history after one more state; readers move on only when all of it is stored.
+
+    Closed versions never change, so only those closed since the state published before are
+    written, beside earlier ones; open versions are written anew.  A last small file names the state
+    that readers take.  Publishing the same state again replaces its own files.  Returns its name.
+    """
+    root, state = root.rstrip("/"), f"{as_of:%Y%m%dT%H%M%S%f}"
+    before = [s for s in _published_states(history.sparkSession, root) if s < state]
+    ended = history.filter(F.col("valid_to").isNotNull())
+    if before:
+        ended = ended.filter(F.date_format("valid_to", "yyyyMMdd'T'HHmmssSSSSSS") > before[-1])
+    ended.write.mode("overwrite").parquet(f"{root}/{_CLOSED}/as_of={state}")
+    history.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(f"{root}/{_OPEN}/as_of={state}")
+    history.sparkSession.createDataFrame([(state,)], "state string").coalesce(1).write.mode("append").parquet(
+        f"{root}/{_CURRENT}"
+    )
+    return state
+
+
+def read_history(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
+    """The history as last published; ``schema`` is that of :func:`empty_history`."""
+    root = root.rstrip("/")
+    state = _published_states(spark, root)[-1]
+    stored = T.StructType([*schema.fields, T.StructField("as_of", T.StringType())])
+    closed = spark.read.schema(stored).parquet(f"{root}/{_CLOSED}").filter(F.col("as_of") <= state)
+    current = spark.read.schema(schema).parquet(f"{root}/{_OPEN}/as_of={state}")
+    return closed.select(*schema.names).unionByName(current)

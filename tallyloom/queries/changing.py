@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.operators.changes import (
     reconcile, refresh_if_changed, states_differ, table_fingerprint, values_not_on_file,
 )
-from tallyloom.operators.history import apply_snapshot, empty_history
+from tallyloom.operators.history import apply_snapshot, empty_history, publish_history, read_history
 from tallyloom.queries import query, table
 from tallyloom.session import durable, scratch_path
 
@@ -60,11 +60,13 @@ WITH u AS (SELECT CAST(doc_id AS VARCHAR) AS cid, source || '-' || lang AS doc F
 f AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS cid, CASE WHEN quality = 0 THEN NULL ELSE x END AS doc
   FROM (SELECT l.doc_id, quality, unnest([source || '-' || lang, 'other']) AS x FROM labels l JOIN documents d ON d.doc_id = l.doc_id)),
 p AS (SELECT CAST(doc_id AS VARCHAR) AS cid, DATE '2024-05-01' AS desde FROM labels WHERE toxic = 1)
-SELECT cid, status, used_doc, CASE WHEN status = 'changed' THEN coalesce(p.desde, DATE '2024-06-01') END AS desde FROM (
+SELECT cid, status, used_doc, CASE WHEN status = 'changed' THEN coalesce(p.desde, DATE '2024-06-01') END AS desde,
+  CASE WHEN status <> 'only_reference' THEN coalesce(n.docs, '') END AS current_docs FROM (
   SELECT coalesce(u.cid, g.cid) AS cid, u.doc AS used_doc, CASE WHEN u.cid IS NULL THEN 'only_current'
     WHEN g.cid IS NULL THEN 'only_reference' WHEN f.cid IS NULL THEN 'changed' END AS status
   FROM u FULL OUTER JOIN (SELECT DISTINCT cid FROM f) g ON g.cid = u.cid LEFT JOIN f ON f.cid = u.cid AND f.doc = u.doc)
-LEFT JOIN p USING (cid) WHERE status IS NOT NULL""")
+LEFT JOIN p USING (cid) LEFT JOIN (SELECT cid, string_agg(DISTINCT doc, ',' ORDER BY doc) AS docs FROM f GROUP BY cid) n USING (cid)
+WHERE status IS NOT NULL""")
 def reconciled_documents(spark, sf_dir):
     documents, labels = (table(spark, sf_dir, n) for n in ("documents", "labels"))
     name = F.concat_ws("-", "source", "lang")
@@ -130,7 +132,8 @@ def customer_history(spark, sf_dir):
         customer.filter("c_nationkey NOT IN (5, 10, 15)").select("c_custkey", later.alias("segment")),
         customer.select("c_custkey", later.alias("segment")),
     )
-    history = empty_history(states[0])
+    history, root = empty_history(states[0]), scratch_path(spark, "history")
     for state, as_of in zip(states, _TIMES):
-        history = apply_snapshot(history, state, "c_custkey", ["segment"], as_of)
+        publish_history(apply_snapshot(history, state, "c_custkey", ["segment"], as_of), root, as_of)
+        history = read_history(spark, root, history.schema)
     return history
