@@ -26,6 +26,8 @@ from tallyloom.llm.shingles import SpanHasher, word_spans
 FEATURE_BITS = 20
 KEPT_FEATURES = 400
 PER_CLASS = 1500
+LEAST_CHI_SQUARED = 25.0
+RARE_SHARE = 0.03
 FOLDS = 5
 PREFIXES = (4, 5, 6)
 _OTHERS = re.compile(r"[\W\d_]+")
@@ -116,6 +118,10 @@ def train(
     if not 0 < last.sum() < len(last):
         return ToxicityChain(categories, np.zeros(0, np.int64), tuple(
             np.concatenate([np.zeros(k), [-30.0]]) for k in range(len(categories))), 0.5)
+    # Copies of one text would lend their chance words the weight of a habit.
+    once = sorted({(b.tobytes(), tuple(y)): i for i, (b, y) in reversed(list(enumerate(zip(bags, labels))))}.values())
+    bags, labels = [bags[i] for i in once], labels[once]
+    last = labels[:, -1]
     numbers, column = np.unique(np.concatenate(bags), return_inverse=True)
     row = np.repeat(np.arange(len(bags)), [len(b) for b in bags])
     seen = np.bincount(column, minlength=len(numbers))
@@ -127,8 +133,11 @@ def train(
         both = np.bincount(column, weights=y[row], minlength=len(numbers))
         gap = both * n - seen * total
         best = np.maximum(best, gap.astype(float) ** 2 / (seen * (n - seen + 1.0) * total * (n - total)))
-    best[seen < 3] = 0
-    chosen = np.sort(np.argsort(-best, kind="stable")[:kept])
+    # A feature must tell a category apart beyond chance; the best phi squared times the texts is chi squared.
+    rare = max(3.0, RARE_SHARE * min(last.sum(), len(last) - last.sum()))
+    best[(seen < rare) | (best * len(bags) < LEAST_CHI_SQUARED)] = 0
+    ranked = np.argsort(-best, kind="stable")[:kept]
+    chosen = np.sort(ranked[best[ranked] > 0])
     slot = np.full(len(numbers), -1)
     slot[chosen] = np.arange(len(chosen))
     x = np.zeros((len(bags), len(chosen)), np.float64)
