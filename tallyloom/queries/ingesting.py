@@ -7,6 +7,7 @@ from datetime import datetime
 import pandas as pd
 from pyspark.sql import functions as F
 
+from tallyloom.config import is_production, materialise
 from tallyloom.functions.lines import render_line
 from tallyloom.operators.numbering import number_rows
 from tallyloom.queries import query, shared_table, table
@@ -19,6 +20,7 @@ from tallyloom.sources.delimited import (
 )
 from tallyloom.sources.html_tables import extract_html_tables
 from tallyloom.sources.registry import land_sources
+from tallyloom.sources.seeds import REGISTERED_CANDIDATES_SCHEMA, read_seed
 
 
 @query("delimited_text", """
@@ -149,3 +151,26 @@ def stored_block(spark, sf_dir):
     path = scratch_path(spark, "block")
     write_block(lines, path)
     return parse_lines(read_block(spark, path), ["day", "status", "key", "beyond"])
+
+
+@query("seed_scan", """
+SELECT c_name AS nm_candidato, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment || ', "' || c_nationkey || '"' END AS ds_observacao FROM customer""")
+def seed_scan(spark, sf_dir):
+    """A lookup file with quotes, separators and empty fields."""
+    note = F.concat("c_mktsegment", F.lit(', "'), F.col("c_nationkey").cast("string"), F.lit('"'))
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("nm_candidato"), F.when(F.col("c_acctbal") >= 0, note).alias("ds_observacao")
+    )
+    path = scratch_path(spark, "seed")
+    rows.write.csv(path, header=True, escape='"')
+    return read_seed(spark, path, REGISTERED_CANDIDATES_SCHEMA)
+
+
+@query("layer_views", """
+SELECT 'dev_staging__nation' AS dev, 'intermediate__region' AS prod, n_name, r_name FROM nation JOIN region ON r_regionkey = n_regionkey""")
+def layer_views(spark, sf_dir):
+    """Views of two layers, under a user's own schema and in production."""
+    dev = materialise(table(spark, sf_dir, "nation"), "staging", "nation", "dev", is_production("dev"))
+    prod = materialise(table(spark, sf_dir, "region"), "intermediate", "region", "dev", is_production("prod"))
+    joined = spark.table(dev).join(spark.table(prod), F.col("n_regionkey") == F.col("r_regionkey"))
+    return joined.select(F.lit(dev).alias("dev"), F.lit(prod).alias("prod"), "n_name", "r_name")

@@ -17,4 +17,6 @@ INSTITUTE_PATTERNS_SCHEMA = "inst_ok string, chave_tse string"
 
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A comma-separated lookup file; empty fields are NULL, types are never guessed."""
-    return spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
+    return spark.read.csv(
+        path, schema=schema, header=True, enforceSchema=False, quote='"', escape='"', multiLine=True, mode="FAILFAST"
+    )
