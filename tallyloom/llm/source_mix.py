@@ -14,12 +14,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.text import word_count
+from tallyloom.llm.text import row_name, unused, word_count
 from tallyloom.session import durable
 
 WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 UNIT_BITS = 48
+BROADCAST_ROWS = 100_000
 
 
 def quality_weights(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -106,6 +107,8 @@ def plan_mix(
         .withColumn("__none", F.col("source").isNull())
         .drop("source", "__rows")
     )
+    targets = durable(targets, "mix-targets")
+    targets = F.broadcast(targets) if targets.count() <= BROADCAST_ROWS else targets
     # Keys have about the distribution 1 - exp(-2.5 key), so equal steps of it hold similar numbers.
     place = F.floor((1 - F.exp(-2.5 * F.col("key"))) * F.col("__bins")).cast("long")
     rows = (
@@ -138,14 +141,15 @@ def mix_sources(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **op
     a document is read, with a last partial reading.  Rows alike in id and text come out as often as
     they came in.
     """
+    row, mixed_from, size, taken = (unused(docs, n) for n in ("__row", "__from", "mix_size", "mix_taken"))
     plan = plan_mix(docs, labels, id_col=id_col, **options).where("taken > 0")
-    key = lambda doc, text: F.concat_ws("-", F.coalesce(doc.cast("string"), F.lit("none")), text)
-    taken = plan.groupBy(key(F.col("doc_id"), F.col("text_hash")).alias("__row"), "source").agg(
-        F.max("size").alias("mix_size"), F.avg("taken").cast("long").alias("mix_taken")
-    ).withColumnRenamed("source", "__from")
-    rows = docs.withColumn("__row", key(F.col(id_col).cast("long"), F.xxhash64("text")))
-    joined = rows.join(taken, (rows["__row"] == taken["__row"]) & rows["source"].cast("string").eqNullSafe(F.col("__from")))
-    return joined.select(*[rows[name] for name in docs.columns], "mix_size", "mix_taken")
+    chosen = plan.groupBy(row_name(F.col("doc_id"), F.col("text_hash")).alias(row), F.col("source").alias(mixed_from)).agg(
+        F.max("size").alias(size), F.avg("taken").cast("long").alias(taken)
+    )
+    named = docs.withColumn(row, row_name(F.col(id_col), F.xxhash64("text")))
+    same_source = named["source"].cast("string").eqNullSafe(chosen[mixed_from])
+    joined = named.join(chosen, (named[row] == chosen[row]) & same_source)
+    return joined.select(*[named[name] for name in docs.columns], size, taken)
 
 
 SQL = r"""
