@@ -12,13 +12,13 @@ belong to its prefix.  Copies within a task are dealt out once.
 *Groups.*  Texts with the same prefix and size form one group, and groups meet in the bucket of each
 prefix shingle.
 
-*Verification.*  First every group is compared with the smallest of its bucket and every member with
-its group: as many pairs as there are entries, however large a bucket is.  What links joins
-components.  A round then compares members outside the largest component of their bucket with a
-few others each, which joins most of a large group of near copies without all its pairs.  At last
-every pair left in a bucket whose ends lie in different components, with sizes and places that allow
-a link, is compared.  All pairs of a bucket are so decided, compared or known
-to be connected, and no component misses a link.  All comparisons use whole shingle sets.
+*Verification.*  First every group is compared with the smallest of its bucket and a few others, and
+every member with its group: a few pairs per entry, however large a bucket is.  What links joins
+components.  Members outside the largest component of a bucket next meet their nearest partners by
+sketch.  Then every pair left in a bucket whose ends lie in different components is compared too,
+if sizes, places and sketches of the shared shingles allow a link.  All pairs of a bucket are so
+decided: compared, ruled out or known to be connected, and no component misses a link.  Comparisons
+use whole shingle sets.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ from tallyloom.llm.components import components
 from tallyloom.llm.packing import pack, unpack
 from tallyloom.llm.registry import query, table
 from tallyloom.llm.shingles import SpanHasher, run_hashes, space_words
+from tallyloom.llm.text import row_name, unused
 from tallyloom.session import durable
 
 BATCH_SHINGLES = 1 << 20
@@ -41,7 +42,7 @@ BATCH_DOCS = 1 << 15
 BROADCAST_ROWS = 200_000
 NO_ID = -(1 << 63)
 KEY_BITS = 20
-DRAWS = 2
+DRAWS = 4
 CELLS = 256
 _DEALT = "part int, batch long, kind int, payload binary"
 
@@ -211,10 +212,6 @@ def prefix_index(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return durable(counted.groupBy("batch").applyInPandas(_prefixes, _INDEX), "prefix-index")
 
 
-def _fits(n1: np.ndarray, n2: np.ndarray) -> np.ndarray:
-    return 4 * np.minimum(n1, n2) >= 3 * np.maximum(n1, n2)
-
-
 def _buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows that come sorted by token, cut into whole buckets of two rows or more."""
     rest = None
@@ -228,30 +225,68 @@ def _buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield rest
 
 
-def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each group of a bucket with the first of its size range; sizes ascend within a token."""
-    for frame in _buckets(frames):
-        token, group, n = (frame[c].to_numpy() for c in ("token", "gid", "n"))
-        a, b = [], []
-        center = 0
-        for i in range(1, len(token)):
-            if token[i] != token[center] or 3 * n[i] > 4 * n[center]:
-                center = i
-            else:
-                a.append(group[center])
-                b.append(group[i])
-        pairs = pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-        yield pairs.drop_duplicates()
-
-
-def _across(draws: int):
-    """Pairs of a bucket from different components whose sizes, places and sketches allow a link.
+def _may_link(n: np.ndarray, place: np.ndarray, cells: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether sizes, places of a common shingle and sketches allow the pairs ``i, j`` to link.
 
     A sketch counts a member's shared shingles by cell of their hash; two members have at most the
     sum of the smaller counts in common.
+    """
+    need = 3 * (n[i] + n[j])
+    both = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])
+    fits = (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j])) & (7 * both >= need)
+    at = np.flatnonzero(fits)
+    for low in range(0, len(at), 1 << 16):
+        part = at[low : low + (1 << 16)]
+        common = np.minimum(cells[i[part]], cells[j[part]]).sum(axis=1)
+        fits[part] = 7 * common >= need[part]
+    return fits
+
+
+def _pair_frame(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
+    return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
+
 
-    With ``draws``, each member outside the largest component meets that many others drawn by a
-    fixed rule; with 0, it meets all.
+def _cells(sketches: np.ndarray) -> np.ndarray:
+    return np.frombuffer(b"".join(sketches), "<u4").reshape(-1, CELLS)
+
+
+def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Each group of a bucket with the first of its size range and with a few others.
+
+    Groups ascend by size within a token.  The others are drawn by a rule fixed by the token.
+    """
+    for frame in _buckets(frames):
+        token, group, n, place = (frame[c].to_numpy() for c in ("token", "gid", "n", "place"))
+        if not len(token):
+            continue
+        cells = _cells(frame["sketch"].to_numpy())
+        count = np.arange(len(token))
+        fresh = np.append(True, token[1:] != token[:-1])
+        start = np.maximum.accumulate(np.where(fresh, count, 0))
+        size = np.diff(np.append(np.flatnonzero(fresh), len(token)))[np.cumsum(fresh) - 1]
+        center, centers = 0, np.zeros(len(token), np.int64)
+        for k in range(1, len(token)):
+            if fresh[k] or 3 * n[k] > 4 * n[center]:
+                center = k
+            centers[k] = center
+        i, j = [count], [centers]
+        for draw in range(DRAWS):
+            # Neighbours by size first, then anyone of the bucket.
+            step = 1 + draw if draw < 2 else 1 + (token ^ (token >> 17) ^ (group * (2 * draw + 1))) % np.maximum(size - 1, 1)
+            i.append(count)
+            j.append(start + (count - start + step) % size)
+        i, j = np.concatenate(i), np.concatenate(j)
+        other = group[i] != group[j]
+        i, j = i[other], j[other]
+        may = _may_link(n, place, cells, i, j)
+        yield _pair_frame(group[i[may]], group[j[may]])
+
+
+def _across(best: bool):
+    """Pairs of a bucket from different components that may link.
+
+    With ``best``, each member outside the largest component gives its nearest partner by sketch in
+    that component and its nearest outside; otherwise all pairs come out.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -266,28 +301,19 @@ def _across(draws: int):
                     continue
                 names, sizes = np.unique(label, return_counts=True)
                 main = label == names[sizes.argmax()]
-                outside = np.flatnonzero(~main)
-                cells = np.frombuffer(b"".join(sketch), "<u4").reshape(-1, CELLS)
-                if draws and len(key) > 2 * draws:
-                    rng = np.random.default_rng(int(token[a]) & 0xFFFFFFFF)
-                    chosen = [(np.repeat(outside, draws), rng.integers(0, len(key), len(outside) * draws))]
-                else:  # members of the largest component meet all others, which meet the larger keys
-                    chosen = ((np.full(len(key), i), np.arange(len(key))) for i in outside)
-                for i, j in chosen:
-                    far = (label[i] != label[j]) & _fits(n[i], n[j])
-                    if not draws:
-                        far &= main[j] | (key[j] > key[i])
-                    both = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])
-                    far &= 7 * both >= 3 * (n[i] + n[j])
-                    i, j = i[far], j[far]
-                    common = np.minimum(cells[i], cells[j]).sum(axis=1)
-                    far = 7 * common >= 3 * (n[i] + n[j])
-                    if far.any():
-                        x, y = key[i][far], key[j][far]
-                        found.append((np.minimum(x, y), np.maximum(x, y)))
+                cells, everyone = _cells(sketch), np.arange(len(key))
+                # Members outside the largest component meet it, and the larger keys outside it.
+                for i in np.flatnonzero(~main):
+                    j = everyone[(label != label[i]) & (main | (key > key[i]))]
+                    j = j[_may_link(n, place, cells, np.full(len(j), i), j)]
+                    if best and len(j) > 2:
+                        common = np.minimum(cells[i], cells[j]).sum(axis=1)
+                        sides = [side for side in (main[j], ~main[j]) if side.any()]
+                        j = np.concatenate([j[side][[common[side].argmax()]] for side in sides])
+                    if len(j):
+                        found.append((np.full(len(j), key[i]), key[j]))
             if found:
-                pairs = pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([y for _, y in found])})
-                yield pairs.drop_duplicates()
+                yield _pair_frame(*(np.concatenate(x) for x in zip(*found)))
 
     return run
 
@@ -318,9 +344,7 @@ def _linked(docs: DataFrame, index: DataFrame, pairs: DataFrame, id_col: str) ->
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     met = pairs.join(right, "b").join(left, "a")
     common = F.size(F.array_intersect("s_a", "s_b"))
-    return durable(
-        met.where(7 * common >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b").distinct(), "near-links"
-    )
+    return durable(met.where(7 * common >= 3 * (F.col("n_a") + F.col("n_b"))).select("a", "b"), "near-links")
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -335,20 +359,19 @@ def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ready = index.where(F.size("prefix") > 0)
     grouped = ready.groupBy("n", "own", "prefix").agg(
-        F.min("key").alias("gid"), F.collect_list(F.struct("key", "sketch")).alias("keys")
+        F.min("key").alias("gid"), F.min_by("sketch", "key").alias("sketch"),
+        F.collect_list(F.struct("key", "sketch")).alias("keys"),
     )
     grouped = durable(grouped, "prefix-groups")
     members = grouped.select("gid", F.explode("keys").alias("member")).select("gid", "member.*")
-    entries = grouped.select("gid", "n", "own", F.posexplode("prefix").alias("at", "token")).select(
-        "token", "gid", "n", (F.col("own") + F.col("at")).alias("place")
+    entries = grouped.select("gid", "n", "own", "sketch", F.posexplode("prefix").alias("at", "token")).select(
+        "token", "gid", "n", (F.col("own") + F.col("at")).alias("place"), "sketch"
     )
-    met = entries.join(entries.groupBy("token").count().where("count > 1"), "token", "left_semi")
-    entries = durable(met, "prefix-entries")
     laid = entries.repartition(parts, "token").sortWithinPartitions("token", "n", "gid")
-    stars = laid.mapInPandas(_stars, "a long, b long")
     inside = members.where("gid <> key").select(F.col("gid").alias("a"), F.col("key").alias("b"))
-    links = _linked(docs, index, stars.union(inside), id_col)
-    for draws in (DRAWS, 0):
+    links = _linked(docs, index, laid.mapInPandas(_stars, "a long, b long").union(inside), id_col)
+    places = entries.drop("sketch")
+    for best in (True, False):
         labels = durable(components(links, "a", "b"), "labels")
         held = members.join(labels, members["key"] == labels["node"], "left").select(
             "gid", "key", "sketch", F.coalesce("label", "key").alias("label")
@@ -357,16 +380,15 @@ def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         # Only buckets whose members lie in several components have pairs left to compare.
         several = held.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         unsettled = (
-            entries.join(several, "gid").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+            places.join(several, "gid").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
             .where("low <> high").select("token")
         )
-        rest = entries.join(unsettled, "token", "left_semi").join(held, "gid").select(
+        rest = places.join(unsettled, "token", "left_semi").join(held, "gid").select(
             "token", "key", "n", "place", "label", "sketch"
         )
         rest = rest.repartition(parts, "token").sortWithinPartitions("token", "key")
-        pairs = rest.mapInPandas(_across(draws), "a long, b long").distinct()
-        more = _linked(docs, index, pairs, id_col)
-        links = durable(links.union(more), "links")
+        more = _linked(docs, index, rest.mapInPandas(_across(best), "a long, b long"), id_col)
+        links = links.union(more)
     labels = durable(components(links, "a", "b"), "labels")
 
     rows = index.join(labels, index["same"] == labels["node"], "left").select(
@@ -385,12 +407,13 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     count as one document and stay together.
     """
     rows = durable(near_components(docs, id_col), "near-components")
+    row = unused(docs, "__row")
     smallest = F.col("doc_id").eqNullSafe(F.col("component_id"))
     first = rows.where(smallest).groupBy("label").agg(F.min("hash").alias("first"))
-    named = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")), "hash")
-    gone = rows.join(first, "label").where(~smallest | (F.col("hash") != F.col("first"))).select(named.alias("__row")).distinct()
-    row = F.concat_ws("-", F.coalesce(F.col(id_col).cast("long").cast("string"), F.lit("none")), F.xxhash64("text"))
-    return docs.withColumn("__row", row).join(gone, "__row", "left_anti").drop("__row")
+    gone = rows.join(first, "label").where(~smallest | (F.col("hash") != F.col("first")))
+    gone = gone.select(row_name(F.col("doc_id"), F.col("hash")).alias(row)).distinct()
+    named = docs.withColumn(row, row_name(F.col(id_col), F.xxhash64("text")))
+    return named.join(gone, row, "left_anti").drop(row)
 
 
 @query("op6_ngram_join")
