@@ -16,13 +16,15 @@ def test_stages_equal_plain_ones(spark, make_docs, tmp_path):
     rows += [(500 + k, rows[k][1].replace(" ", "  "), "en", "a") for k in range(10)]
     items = [(k, " ".join(f"q{rng.randrange(90)}" for _ in range(14))) for k in range(4)]
     rows += [(600 + k, f"start of it {items[k][1]} and more of it", "en", "b") for k in range(4)]
-    bad = [(700 + k, f"you are a hateful{k} badword thing {rng.random()} " + " ".join(f"z{rng.randrange(999)}" for _ in range(9)), "en", "a") for k in range(30)]
-    good = [(800 + k, " ".join(f"g{rng.randrange(999)}" for _ in range(30)), "en", "b") for k in range(30)]
+    chatter = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    bad = [(700 + k, f"{chatter(6)} hateful badword {chatter(9)}", "en", "a") for k in range(30)]
+    good = [(800 + k, chatter(30), "en", "b") for k in range(30)]
     rows += bad + good + [(900, None, None, None), (901, "", "en", "a")]
     folder = str(tmp_path)
     make_docs(rows).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
-    labels = [(r[0], 1, 1) for r in bad[:20]] + [(r[0], 1, 0) for r in good[:20]]
+    # Clean labels cover every kind of clean text, so that none of them stands out as unknown.
+    labels = [(r[0], 1, 1) for r in bad[:20]] + [(r[0], 1, 0) for r in rows if r[0] < 700] + [(r[0], 1, 0) for r in good[:20]]
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
 
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -39,7 +41,7 @@ def test_stages_equal_plain_ones(spark, make_docs, tmp_path):
         if name == "toxicity":
             chain = toxicity.learn(docs, spark.read.parquet(f"{folder}/labels.parquet"))
             toxic = {r.doc_id for r in toxicity.score(docs, chain).where("toxic").collect()}
-            assert {r[0] for r in bad} <= toxic and not toxic & {r[0] for r in good}
+            assert {r[0] for r in bad} <= toxic and toxic <= {r[0] for r in bad}
             expected = [r[0] for r in before if r[0] not in toxic]
         elif name == "exact_dedup":
             first = {}
