@@ -156,3 +156,41 @@ def test_repeated_passages_are_found_and_near_ones_verified(make_docs):
         b = shingles(" ".join(texts[r.other_id][r.other_first : r.other_last]))
         assert len(a & b) / len(a | b) == pytest.approx(r.similarity) and r.similarity >= 0.75
     assert passage_dedup.repeated_passages(make_docs([])).count() == 0
+
+
+def shared_runs(rows, size=50):
+    """For each text, the words inside a run of ``size`` words that another text holds."""
+    held = collections.defaultdict(set)
+    texts = [(i, t.split()) for i, t, *_ in rows]
+    for i, w in texts:
+        for s in range(len(w) - size + 1):
+            held[tuple(w[s : s + size])].add(i)
+    inside = collections.defaultdict(set)
+    for i, w in texts:
+        for s in range(len(w) - size + 1):
+            if len(held[tuple(w[s : s + size])]) > 1:
+                inside[i].update(range(s, s + size))
+    return inside
+
+
+def test_passages_are_found_among_many_that_share_a_part(make_docs):
+    rng = random.Random(4)
+    fresh = lambda n: [f"u{rng.random()}" for _ in range(n)]
+    boiler, rows = fresh(35), []
+    tails = [fresh(15) for _ in range(12)]
+    for i in range(72):
+        tail = tails[i // 6] if i % 6 in (1, 4) else fresh(15)
+        rows.append((i, " ".join(fresh(40) + boiler + tail + fresh(40)), "en", "a"))
+    got = passage_dedup.repeated_passages(make_docs(rows)).collect()
+    expected = shared_runs(rows)
+    assert len(expected) == 24
+    seen = collections.defaultdict(set)
+    for r in got:
+        seen[r.doc_id].update(range(r.first_word, r.last_word))
+        seen[r.other_id].update(range(r.other_first, r.other_last))
+    for i, places in expected.items():
+        assert places <= seen[i]
+    texts = {i: t.split() for i, t, *_ in rows}
+    for r in got:
+        if r.similarity == 1:
+            assert texts[r.doc_id][r.first_word : r.last_word] == texts[r.other_id][r.other_first : r.other_last]
