@@ -194,3 +194,22 @@ def test_passages_are_found_among_many_that_share_a_part(make_docs):
     for r in got:
         if r.similarity == 1:
             assert texts[r.doc_id][r.first_word : r.last_word] == texts[r.other_id][r.other_first : r.other_last]
+
+
+@pytest.mark.parametrize("repeated, gap", [(1, 3), (12, 3), (12, 30), (30, 90)])
+def test_passage_whose_beginning_stands_earlier_is_one_segment(repeated, gap):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    fresh = lambda n: rng.integers(-(1 << 62), 1 << 62, n)
+    passage = fresh(46)
+    edited = np.concatenate([passage[:20], fresh(2), passage[22:]])
+    for shown in (passage, edited):
+        x = np.concatenate([fresh(9), shown, fresh(9)])
+        y = np.concatenate([fresh(5), passage[:repeated], fresh(gap), passage, fresh(7)])
+        at = 5 + repeated + gap
+        assert [s[:4] for s in passage_dedup.segments(x, y, 46, 0.75)] == [(9, 55, at, at + 46)]
+    twice = np.concatenate([passage[:20], fresh(5), passage, fresh(5), passage[20:]])
+    assert [s[:4] for s in passage_dedup.segments(passage, twice, 46, 0.75)] == [(0, 46, 25, 71)]
+    same = np.full(5000, 7)
+    assert passage_dedup.segments(same, same[:4000], 46, 0.75)[0][4] == 1
