@@ -44,6 +44,7 @@ NO_ID = -(1 << 63)
 KEY_BITS = 20
 DRAWS = 4
 CELLS = 256
+BLOCK_ROWS = 1 << 14
 _DEALT = "part int, batch long, kind int, payload binary"
 
 
@@ -212,17 +213,51 @@ def prefix_index(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return durable(counted.groupBy("batch").applyInPandas(_prefixes, _INDEX), "prefix-index")
 
 
-def _buckets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows that come sorted by token, cut into whole buckets of two rows or more."""
-    rest = None
+def _buckets(frames: Iterator[pd.DataFrame], most: int) -> Iterator[pd.DataFrame]:
+    """Rows that come sorted by token, cut into whole buckets; one of more than about ``most`` rows comes in
+    pieces, each of which begins with the last row of the one before."""
+    held: list[pd.DataFrame] = []
     for frame in frames:
-        frame = frame if rest is None else pd.concat([rest, frame], ignore_index=True)
+        if not len(frame):
+            continue
         tokens = frame["token"].to_numpy()
-        cut = np.searchsorted(tokens, tokens[-1]) if len(tokens) else 0
-        rest = frame.iloc[cut:]
-        yield frame.iloc[:cut]
-    if rest is not None:
-        yield rest
+        cut = np.searchsorted(tokens, tokens[-1])
+        if held and held[0]["token"].iloc[0] == tokens[-1]:
+            held.append(frame)
+            if sum(map(len, held)) >= most:
+                yield pd.concat(held, ignore_index=True)
+                held = [frame.iloc[-1:]]
+            continue
+        yield pd.concat([*held, frame.iloc[:cut]], ignore_index=True)
+        held = [frame.iloc[cut:]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _sides(frames: Iterator[pd.DataFrame], columns: list[str], most: int) -> Iterator[tuple[bool, bool, list[np.ndarray]]]:
+    """Whether a token begins, whether rows are of its main component, and their ``columns``.
+
+    Rows come sorted by token with the main component last, which is handed on in blocks of about ``most``.
+    """
+    at, begun, held, rows = None, None, [], 0
+
+    def handed() -> tuple[bool, bool, list[np.ndarray]]:
+        return begun != at[0], bool(at[1]), [np.concatenate(c) if len(c) > 1 else c[0] for c in zip(*held)]
+
+    for frame in frames:
+        token, main, *rest = (frame[c].to_numpy() for c in ("token", "main", *columns))
+        cuts = np.flatnonzero((token[1:] != token[:-1]) | (main[1:] != main[:-1])) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(token)]):
+            if a == b:
+                continue
+            here = (token[a], main[a])
+            if held and (here != at or (main[a] and rows >= most)):
+                yield handed()
+                begun, held, rows = at[0], [], 0
+            at, rows = here, rows + b - a
+            held.append([c[a:b] for c in rest])
+    if held:
+        yield handed()
 
 
 def _may_link(n: np.ndarray, place: np.ndarray, cells: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
@@ -251,11 +286,11 @@ def _cells(sketches: np.ndarray) -> np.ndarray:
 
 
 def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Each group of a bucket with the first of its size range and with a few others.
+    """Each group of a bucket, or of a piece of a large one, with the first of its size range and a few others.
 
     Groups ascend by size within a token.  The others are drawn by a rule fixed by the token.
     """
-    for frame in _buckets(frames):
+    for frame in _buckets(frames, BLOCK_ROWS):
         token, group, n, place = (frame[c].to_numpy() for c in ("token", "gid", "n", "place"))
         if not len(token):
             continue
@@ -285,35 +320,53 @@ def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _across(best: bool):
     """Pairs of a bucket from different components that may link.
 
-    With ``best``, each member outside the largest component gives its nearest partner by sketch in
-    that component and its nearest outside; otherwise all pairs come out.
+    With ``best``, each member outside the main component gives its nearest partner by sketch in that
+    component and its nearest outside; otherwise all pairs come out.  The members outside are held, those
+    of the main component pass by in blocks.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in _buckets(frames):
-            columns = [frame[c].to_numpy() for c in ("token", "key", "n", "place", "label", "sketch")]
-            token = columns[0]
-            starts = np.flatnonzero(np.append(True, token[1:] != token[:-1])) if len(token) else np.zeros(0, int)
-            found = []
-            for a, b in zip(starts, np.append(starts[1:], len(token))):
-                key, n, place, label, sketch = (c[a:b] for c in columns[1:])
-                if (label == label[0]).all():
-                    continue
-                names, sizes = np.unique(label, return_counts=True)
-                main = label == names[sizes.argmax()]
-                cells, everyone = _cells(sketch), np.arange(len(key))
-                # Members outside the largest component meet it, and the larger keys outside it.
-                for i in np.flatnonzero(~main):
-                    j = everyone[(label != label[i]) & (main | (key > key[i]))]
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+        outside: list[np.ndarray] | None = None
+        nearest: dict[int, tuple[int, int]] = {}
+
+        def settled() -> None:
+            if nearest:
+                found.append(tuple(np.array(c, np.int64) for c in ([*nearest], [k for _, k in nearest.values()])))
+                nearest.clear()
+
+        for fresh, main, (key, n, place, label, sketch) in _sides(frames, ["key", "n", "place", "label", "sketch"], BLOCK_ROWS):
+            if fresh:
+                settled()
+                outside = None
+            cells = _cells(sketch)
+            if not main:
+                outside = [key, n, place, cells]
+                for i in range(len(key)):
+                    j = np.flatnonzero((label != label[i]) & (key > key[i] if not best else True))
                     j = j[_may_link(n, place, cells, np.full(len(j), i), j)]
-                    if best and len(j) > 2:
-                        common = np.minimum(cells[i], cells[j]).sum(axis=1)
-                        sides = [side for side in (main[j], ~main[j]) if side.any()]
-                        j = np.concatenate([j[side][[common[side].argmax()]] for side in sides])
+                    if best and len(j):
+                        j = j[[np.minimum(cells[i], cells[j]).sum(axis=1).argmax()]]
                     if len(j):
                         found.append((np.full(len(j), key[i]), key[j]))
-            if found:
+            elif outside is not None:
+                held = len(outside[0])
+                key, n, place, cells = (np.concatenate(c) for c in zip(outside, (key, n, place, cells)))
+                for i in range(held):
+                    j = np.arange(held, len(key))
+                    j = j[_may_link(n, place, cells, np.full(len(j), i), j)]
+                    if best and len(j):
+                        common = np.minimum(cells[i], cells[j]).sum(axis=1)
+                        top = int(common.argmax())
+                        nearest[key[i]] = max(nearest.get(key[i], (0, 0)), (int(common[top]), int(key[j[top]])))
+                    elif len(j):
+                        found.append((np.full(len(j), key[i]), key[j]))
+            if sum(len(x) for x, _ in found) >= 1 << 16:
                 yield _pair_frame(*(np.concatenate(x) for x in zip(*found)))
+                found.clear()
+        settled()
+        if found:
+            yield _pair_frame(*(np.concatenate(x) for x in zip(*found)))
 
     return run
 
@@ -358,12 +411,11 @@ def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ready = index.where(F.size("prefix") > 0)
-    grouped = ready.groupBy("n", "own", "prefix").agg(
-        F.min("key").alias("gid"), F.min_by("sketch", "key").alias("sketch"),
-        F.collect_list(F.struct("key", "sketch")).alias("keys"),
-    )
-    grouped = durable(grouped, "prefix-groups")
-    members = grouped.select("gid", F.explode("keys").alias("member")).select("gid", "member.*")
+    shape = ["n", "own", "prefix"]
+    members = ready.join(ready.groupBy(*shape).agg(F.min("key").alias("gid")), shape)
+    members = durable(members.select("gid", "key", "sketch", *shape), "prefix-members")
+    grouped = members.where("gid = key")
+    members = members.select("gid", "key", "sketch")
     entries = grouped.select("gid", "n", "own", "sketch", F.posexplode("prefix").alias("at", "token")).select(
         "token", "gid", "n", (F.col("own") + F.col("at")).alias("place"), "sketch"
     )
@@ -373,20 +425,23 @@ def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     places = entries.drop("sketch")
     for best in (True, False):
         labels = durable(components(links, "a", "b"), "labels")
-        held = members.join(labels, members["key"] == labels["node"], "left").select(
-            "gid", "key", "sketch", F.coalesce("label", "key").alias("label")
+        sized = labels.join(labels.groupBy("label").agg(F.count(F.lit(1)).alias("size")), "label")
+        held = members.join(sized, members["key"] == sized["node"], "left").select(
+            "gid", "key", "sketch", F.coalesce("label", "key").alias("label"), F.coalesce("size", F.lit(1)).alias("size")
         )
         held = durable(held, "labelled-members")
         # Only buckets whose members lie in several components have pairs left to compare.
-        several = held.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        largest = F.max(F.struct("size", "label"))
+        several = held.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), largest.alias("most"))
         unsettled = (
-            places.join(several, "gid").groupBy("token").agg(F.min("low").alias("low"), F.max("high").alias("high"))
-            .where("low <> high").select("token")
+            places.join(several, "gid").groupBy("token")
+            .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.max("most").alias("most"))
+            .where("low <> high").select("token", F.col("most.label").alias("most"))
         )
-        rest = places.join(unsettled, "token", "left_semi").join(held, "gid").select(
-            "token", "key", "n", "place", "label", "sketch"
+        rest = places.join(unsettled, "token").join(held, "gid").select(
+            "token", "key", "n", "place", "label", "sketch", (F.col("label") == F.col("most")).alias("main")
         )
-        rest = rest.repartition(parts, "token").sortWithinPartitions("token", "key")
+        rest = rest.repartition(parts, "token").sortWithinPartitions("token", "main", "key")
         more = _linked(docs, index, rest.mapInPandas(_across(best), "a long, b long"), id_col)
         links = links.union(more)
     labels = durable(components(links, "a", "b"), "labels")

@@ -213,3 +213,35 @@ def test_passage_whose_beginning_stands_earlier_is_one_segment(repeated, gap):
     assert [s[:4] for s in passage_dedup.segments(passage, twice, 46, 0.75)] == [(0, 46, 25, 71)]
     same = np.full(5000, 7)
     assert passage_dedup.segments(same, same[:4000], 46, 0.75)[0][4] == 1
+
+
+def test_many_members_of_one_group_are_rows_of_their_own(make_docs, monkeypatch):
+    from pyspark.sql import types as T
+
+    stored = []
+    durable = ngram_join.durable
+    monkeypatch.setattr(ngram_join, "durable", lambda df, *a: stored.append(durable(df, *a)) or stored[-1])
+    words = [f"g{i}" for i in range(200)]
+    rows = [(i, " ".join(words[:100] + [f"n{i}"] + words[101:]), "en", "a") for i in range(60)]
+    got = ngram_join.near_components(make_docs(rows)).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_components(rows)
+    kinds = [f.dataType for df in stored for f in df.schema if isinstance(f.dataType, T.ArrayType)]
+    assert kinds and not any(isinstance(k.elementType, T.StructType) for k in kinds)
+
+
+def test_large_buckets_come_in_pieces_and_blocks():
+    import numpy as np
+    import pandas as pd
+
+    token = np.repeat([3, 5, 9], [1, 40, 4])
+    frame = pd.DataFrame({"token": token, "gid": np.arange(45)})
+    pieces = [p for p in ngram_join._buckets((frame.iloc[a : a + 7] for a in range(0, 45, 7)), 10) if len(p)]
+    assert max(map(len, pieces)) < 20 and sorted({g for p in pieces for g in p["gid"]}) == list(range(45))
+    for before, after in zip(pieces, pieces[1:]):
+        if before["token"].iloc[-1] == after["token"].iloc[0]:
+            assert before["gid"].iloc[-1] == after["gid"].iloc[0]
+    main = (np.arange(45) % 40) > 3
+    frame = frame.assign(main=main).sort_values(["token", "main", "gid"])
+    sides = list(ngram_join._sides((frame.iloc[a : a + 7] for a in range(0, 45, 7)), ["gid"], 10))
+    assert [g for *_, (c,) in sides for g in c] == list(frame["gid"]) and sum(fresh for fresh, *_ in sides) == 3
+    assert all(len(c) < 20 for _, is_main, (c,) in sides if is_main)
