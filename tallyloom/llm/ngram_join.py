@@ -372,15 +372,26 @@ def _across(best: bool):
 
 
 def _sets_of(rows: DataFrame) -> DataFrame:
-    """``key, n, shingles`` from ``key, text``."""
+    """``key, n, shingles`` from ``key, text``, one row per key; rows of one key have the same text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = SpanHasher()
+        seen: set[int] = set()
         for frame in frames:
+            frame = frame[~frame["key"].isin(seen)].drop_duplicates("key")
+            seen.update(frame["key"].tolist())
             sets = [shingle_set(hasher, t).view(np.int64) for t in frame["text"]]
             yield pd.DataFrame({"key": frame["key"], "n": [len(s) for s in sets], "shingles": sets})
 
-    return rows.mapInPandas(run, "key long, n long, shingles array<long>")
+    return rows.mapInPandas(run, "key long, n long, shingles array<long>").dropDuplicates(["key"])
+
+
+def repeated_keys(index: DataFrame) -> DataFrame:
+    """``key, first``: keys whose id and text stand under a smaller key of another batch already."""
+    names = ["doc_id", "hash"]
+    firsts = index.groupBy(*names).agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("keys")).where("keys > 1")
+    found = index.select("key", *names).join(firsts, names).where("key <> first").select("key", "first")
+    return durable(found, "repeated-keys")
 
 
 def _linked(docs: DataFrame, index: DataFrame, pairs: DataFrame, id_col: str) -> DataFrame:
@@ -410,7 +421,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     index = prefix_index(docs, id_col)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ready = index.where(F.size("prefix") > 0)
+    repeated = repeated_keys(index.where("same = key AND n > 0"))
+    ready = index.where(F.size("prefix") > 0).join(repeated, "key", "left_anti")
     shape = ["n", "own", "prefix"]
     members = ready.join(ready.groupBy(*shape).agg(F.min("key").alias("gid")), shape)
     members = durable(members.select("gid", "key", "sketch", *shape), "prefix-members")
@@ -446,6 +458,8 @@ def near_components(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
         links = links.union(more)
     labels = durable(components(links, "a", "b"), "labels")
 
+    firsts = repeated.select(F.col("key").alias("same"), "first")
+    index = index.join(firsts, "same", "left").withColumn("same", F.coalesce("first", "same"))
     rows = index.join(labels, index["same"] == labels["node"], "left").select(
         F.nullif("doc_id", F.lit(NO_ID)).alias("doc_id"), "hash", F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.coalesce("label", "same")).otherwise(F.col("key")).alias("label"),

@@ -245,3 +245,22 @@ def test_large_buckets_come_in_pieces_and_blocks():
     sides = list(ngram_join._sides((frame.iloc[a : a + 7] for a in range(0, 45, 7)), ["gid"], 10))
     assert [g for *_, (c,) in sides for g in c] == list(frame["gid"]) and sum(fresh for fresh, *_ in sides) == 3
     assert all(len(c) < 20 for _, is_main, (c,) in sides if is_main)
+
+
+def test_rows_repeated_over_batches_are_compared_once(make_docs, monkeypatch):
+    stored = collections.defaultdict(list)
+    for module in (ngram_join, passage_dedup):
+        durable = module.durable
+        monkeypatch.setattr(module, "durable", lambda df, label, f=durable: stored[label].append(f(df, label)) or stored[label][-1])
+    words = [f"r{i}" for i in range(150)]
+    texts = [" ".join(words), " ".join(words[:70] + ["other"] + words[71:])]
+    docs = make_docs([(7, texts[0], "en", "a"), (None, texts[1], "en", "a")]).repartition(1)
+    docs = docs.union(docs).union(docs).union(docs)
+    got = ngram_join.near_components(docs).collect()
+    assert sorted((str(r.doc_id), r.component_id) for r in got) == [("7", 7)] * 4 + [("None", 7)] * 4
+    found = passage_dedup.repeated_passages(docs).collect()
+    assert {x for r in found for x in (r.doc_id, r.other_id)} == {7, None}
+    for label, name in (("pair-sets", "key"), ("passage-shingles", "id"), ("passage-cuts", "doc_id")):
+        for df in stored[label]:
+            assert df.count() == df.select(name).distinct().count() <= 2
+    assert max(df.count() for df in stored["pairs"]) == 1
