@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -42,6 +43,16 @@ FURNITURE_NAMES = frozenset(
     "subscribe tags toolbar widget widgets toc alert complementary respond".split()
 )
 ARTICLE_NAMES = frozenset("article main content post entry story body text".split())
+# A header inside an article is its own; what follows a modifier says what a layout has or lacks.
+HEADER_NAMES = frozenset("header masthead banner".split())
+MODIFIERS = frozenset("has with without no not non hide show".split())
+# How firmly furniture holds: an article element resets what only wraps, a main element also teasers.
+FIRM_TAGS = frozenset("nav footer aside menu dialog".split())
+TEASER_NAMES = frozenset(
+    "comment comments disqus replies reply respond related recommended promo promoted sponsored sidebar nav navbar "
+    "navigation menu footer complementary contentinfo".split()
+)
+WRAPS, TEASER, FIRM = 0, 1, 2
 
 # A small labelled table of blocks: words, link density, words and link density of the block before
 # and of the block after, marks (furniture, article), and 1 for main text.
@@ -135,6 +146,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=\"'<>/]+)")
 _NAME = re.compile(r"[a-z]+")
+_FORM_PART = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)|<(/form|article|main|div|section)\b([^>]*)", re.S | re.I)
 
 
 @dataclass
@@ -156,6 +168,7 @@ class _Open:
     link: bool
     furniture: bool
     article: bool
+    hold: int = WRAPS
 
 
 def _attributes(text: str) -> dict[str, str]:
@@ -166,19 +179,70 @@ def _attributes(text: str) -> dict[str, str]:
     return found
 
 
-def _opened(tag: str, attributes: dict[str, str], around: _Open) -> _Open:
-    """How the element changes what holds around it; the innermost mark counts."""
+def _names(attributes: dict[str, str]) -> list[list[str]]:
+    """The words of each class, id and role name, up to a modifier."""
+    found = []
+    for name in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower().split():
+        words = _NAME.findall(name)
+        cut = next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))
+        if cut:
+            found.append(words[:cut])
+    return found
+
+
+def _furniture_names(names: list[list[str]], in_article: bool) -> set[str]:
+    """Names of page furniture that begin or end a name; an article's header is none."""
+    found = {w for words in names for w in (words[0], words[-1]) if w in FURNITURE_NAMES}
+    if in_article or any(words[-1] in HEADER_NAMES and words[0] in ARTICLE_NAMES for words in names):
+        found -= HEADER_NAMES
+    return found
+
+
+def _is_article(tag: str, attributes: dict[str, str]) -> bool:
+    return tag in ARTICLE_TAGS or attributes.get("role", "").strip().lower() in ARTICLE_TAGS
+
+
+def _opened(tag: str, attributes: dict[str, str], around: _Open, around_article: bool = False) -> _Open:
+    """How the element changes what holds around it; the innermost mark counts.
+
+    An article or main element is an article also inside furniture that only wraps it, but not in menus,
+    footers, asides and, unless it is the main one, comments and teasers.  A form is no mark with
+    ``around_article``.
+    """
     style = attributes.get("style", "").lower().replace(" ", "")
     hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
     silent = around.silent or tag in SILENT or hidden or "display:none" in style or "visibility:hidden" in style
-    names = set(_NAME.findall(" ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower()))
-    furniture, article = around.furniture, around.article
+    furniture, article, hold = around.furniture, around.article, around.hold
     if tag in BLOCK_TAGS and tag not in ("html", "body"):
-        if tag in FURNITURE_TAGS or names & FURNITURE_NAMES or (tag == "header" and not around.article):
+        names = _names(attributes)
+        marks = _furniture_names(names, around.article)
+        own_header = tag == "header" and not around.article
+        element = _is_article(tag, attributes)
+        if tag == "form" and around_article:
+            pass
+        elif tag in FURNITURE_TAGS or own_header or marks and not (element and marks <= HEADER_NAMES):
             furniture, article = True, False
-        elif not furniture and (tag in ARTICLE_TAGS or names & ARTICLE_NAMES):
+            hold = max(hold, FIRM if tag in FIRM_TAGS else TEASER if marks & TEASER_NAMES else WRAPS)
+        elif element and hold <= (TEASER if "main" in (tag, attributes.get("role", "").strip().lower()) else WRAPS):
+            furniture, article, hold = False, True, WRAPS
+        elif not furniture and any(not ARTICLE_NAMES.isdisjoint(words) for words in names):
             article = True
-    return _Open(tag, silent, around.link or tag == "a", furniture, article)
+    return _Open(tag, silent, around.link or tag == "a", furniture, article, hold)
+
+
+def _form_parts(page: str) -> tuple[list[int], list[int]]:
+    """Where forms end and where articles begin, by elements or by whole names."""
+    ends, articles = [], []
+    for m in _FORM_PART.finditer(page):
+        tag = (m[2] or "").lower()
+        if tag == "/form":
+            ends.append(m.start())
+        elif tag:
+            attributes = _attributes(m[3])
+            whole = any(ARTICLE_NAMES.issuperset(w) and set(w) - {"content", "body", "text"} for w in _names(attributes))
+            if whole or _is_article(tag, attributes):
+                articles.append(m.start())
+    return ends, articles
 
 
 def blocks_of(page: str | None) -> list[Block]:
@@ -213,6 +277,15 @@ def blocks_of(page: str | None) -> list[Block]:
                 return
 
     page, at = page or "", 0
+    forms: tuple[list[int], list[int]] | None = None
+
+    def encloses_article() -> bool:
+        nonlocal forms
+        forms = forms or _form_parts(page)
+        ends, articles = forms
+        end, first = bisect_left(ends, at), bisect_left(articles, at)
+        return first < len(articles) and (end == len(ends) or articles[first] < ends[end])
+
     while at < len(page):
         m = _TOKEN.search(page, at)
         if m is None:
@@ -246,7 +319,7 @@ def blocks_of(page: str | None) -> list[Block]:
             leave("a", ENDS_PARAGRAPH)
         raw = m[3] if m[2] else m[6]
         if tag not in VOID and not (raw or "").rstrip().endswith("/"):
-            stack.append(_opened(tag, _attributes(raw or ""), stack[-1]))
+            stack.append(_opened(tag, _attributes(raw or ""), stack[-1], tag == "form" and encloses_article()))
         elif tag not in VOID and tag not in BLOCK_TAGS and tag not in ("svg", "math"):
             stack.append(_opened(tag, _attributes(raw or ""), stack[-1]))
     close()

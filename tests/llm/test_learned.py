@@ -93,6 +93,29 @@ def test_main_text_without_furniture():
     assert html_blocks.main_text(page, html_blocks.train()) == "The title First & best para­graph link. Short. Last one."
 
 
+@pytest.mark.parametrize("before, after", [
+    ("<div class='page has-sidebar'>", "</div>"), ("<div class='layout no-ads'>", "</div>"), ("<div class='layout--with-menu'>", "</div>"),
+    ("<form id=aspnetForm method=post>", "</form>"), ("<div class='content-sidebar-wrap'>", "</div>"),
+    ("<div class='elementor-widget'>", "</div>"), ("<div class='sidebar'><main>", "</main></div>"), ("", ""),
+])
+def test_article_inside_wrappers(before, after):
+    story = "The first paragraph of the story, with enough words to be read as text by anyone who likes it."
+    page = (
+        f"<body>{before}<nav><a href=x>Home</a></nav><article><div class='post-header'><h1>The title</h1></div><p>{story}</p>"
+        f"<p>Short.</p><div class='post-share'><p>Share this.</p></div></article>"
+        f"<div class=related-posts><article><p>{story} Again.</p></article></div>"
+        f"<aside><article><p>{story} Aside.</p></article></aside><div id=comments><article><p>{story} No.</p></article></div>{after}"
+    )
+    assert html_blocks.main_text(page, html_blocks.train()) == f"The title {story} Short."
+
+
+def test_form_without_an_article_is_furniture():
+    page = "<article><p>Text of it.</p></article><form class=x><p>Your name and many other words that a form asks for here.</p></form>"
+    named = "<form><div class='main content'><p>A page built as one form has its text in a named element of it.</p></div></form>"
+    assert html_blocks.main_text(page + page, html_blocks.train()) == "Text of it. Text of it."
+    assert html_blocks.main_text(named, html_blocks.train()).startswith("A page built")
+
+
 def test_extract_gives_one_row_per_page(spark):
     pages = spark.createDataFrame(
         [(1, "u", "<article><p>a  b</p></article>"), (2, None, None), (None, "v", ""), (1, "u", "<article><p>a  b</p></article>")],
