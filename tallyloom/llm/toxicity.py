@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tallyloom.llm.registry import query, table
 from tallyloom.llm.shingles import SpanHasher, word_spans
@@ -26,6 +26,7 @@ from tallyloom.llm.shingles import SpanHasher, word_spans
 FEATURE_BITS = 20
 KEPT_FEATURES = 400
 PER_CLASS = 1500
+TEXTS_PER_ID = 8
 LEAST_CHI_SQUARED = 25.0
 RARE_SHARE = 0.03
 FOLDS = 5
@@ -166,7 +167,8 @@ def learn(
 ) -> ToxicityChain:
     """Fit on a bounded sample of labelled documents.
 
-    The sample is drawn by a hash of the id, about ``per_class`` of each kind.  Labels that are null
+    The sample is drawn by a hash of the id, about ``per_class`` of each kind.  An id gives each of its
+    texts once and at most ``TEXTS_PER_ID``, those of the smallest hashes.  Labels that are null
     are left out; several labels of one id count as toxic if one is.
     """
     known = (
@@ -182,6 +184,10 @@ def learn(
     # About 2 * per_class ids, cut off at twice that, so the side is small by construction.
     sample = known.where(draw < share).orderBy(draw, "labelled").limit(4 * per_class)
     rows = docs.select(F.col(id_col).cast("long").alias("labelled"), "text").join(F.broadcast(sample), "labelled")
+    rows = rows.withColumn("hash", F.xxhash64("text")).dropDuplicates(["labelled", "hash"])
+    place = F.row_number().over(Window.partitionBy("labelled").orderBy("hash"))
+    rows = rows.withColumn("place", place).where(F.col("place") <= TEXTS_PER_ID).select("labelled", "toxic", "text")
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = SpanHasher()
         for frame in frames:

@@ -61,6 +61,14 @@ def test_toxicity_on_odd_rows_and_without_labels(spark, make_docs, odd_rows):
     assert toxicity.score(make_docs([]), chain).count() == 0
 
 
+def test_an_id_with_many_rows_gives_few_training_texts(spark, make_docs, monkeypatch):
+    taken = []
+    monkeypatch.setattr(toxicity, "train", lambda bags, marks, categories: taken.append((len(bags), int(marks[:, -1].sum()))))
+    rows = [(1, f"word{i % 3}", "en", "a") for i in range(50)] + [(2, "x " + "y" * i, "en", "a") for i in range(30)]
+    toxicity.learn(make_docs(rows), spark.createDataFrame([(1, 1, 1), (2, 1, 0)], "doc_id long, quality int, toxic int"))
+    assert taken == [(3 + toxicity.TEXTS_PER_ID, 3)]
+
+
 def test_later_links_use_earlier_probabilities():
     rng = random.Random(2)
     bags, marks = [], []
