@@ -26,6 +26,7 @@ K = 7
 PLACE_BITS = 26
 PLACE_MASK = (1 << PLACE_BITS) - 1
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 32 << 20
 
 
 def _doubled(values: Column, width: int, join) -> Column:
@@ -92,7 +93,10 @@ def hit_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_
         "benchmark-prints",
     )
     sides = F.broadcast(sides) if sides.count() <= BROADCAST_ROWS else sides
-    bench = F.broadcast(bench) if bench.count() <= BROADCAST_ROWS // WINDOW else bench
+    # A word takes up to 16 bytes of an array besides its own; a row with its key about 64.
+    word_bytes = F.aggregate("i_words", F.lit(64).cast("long"), lambda total, w: total + F.octet_length(w) + 16)
+    held = bench.agg(F.sum(word_bytes)).first()[0] or 0
+    bench = F.broadcast(bench) if held <= BROADCAST_BYTES else bench
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         ascii_words(F.col("text")).alias("words"),

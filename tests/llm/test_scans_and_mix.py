@@ -90,6 +90,19 @@ def test_contamination_equals_every_window(spark, make_docs, odd_rows):
     assert decontamination.contamination(make_docs([]), bench).count() == 0
 
 
+def test_long_benchmark_items_are_not_broadcast(spark, make_docs, monkeypatch):
+    sent = []
+    broadcast = decontamination.F.broadcast
+    monkeypatch.setattr(decontamination.F, "broadcast", lambda df: sent.append(df.columns) or broadcast(df))
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 10_000, raising=False)
+    long = " ".join(f"b{i}" for i in range(3000))
+    docs = make_docs([(1, "before " + " ".join(f"b{i}" for i in range(100, 140)), "en", "a")])
+    for text, small in ((long, False), (long[:900], True)):
+        sent.clear()
+        hits = decontamination.hit_windows(docs, spark.createDataFrame([(1, text)], "item_id long, text string"))
+        assert hits.count() == 31 and any("i_words" in columns for columns in sent) == small
+
+
 def fill_by_turns(sizes, weights, cap=3):
     """Share by weight, cap, share the rest anew until none is above."""
     full, left = {}, dict(zip(range(len(sizes)), sizes))
