@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import reduce
 from operator import and_
 
@@ -74,6 +74,7 @@ def apply_snapshot(
 
 
 _OPEN, _CLOSED, _CURRENT = "open", "closed", "current"
+_STATE = "%Y%m%dT%H%M%S%f"
 
 
 def _published_states(spark: SparkSession, root: str) -> list[str]:
@@ -91,13 +92,14 @@ def publish_history(history: DataFrame, root: str, as_of: datetime) -> str:
 
     Closed versions never change, so only those closed since the state published before are
     written, beside earlier ones; open versions are written anew.  A last small file names the state
-    that readers take.  Publishing the same state again replaces its own files.  Returns its name.
+    that readers take.  Publishing the same state again replaces its own files.  Returns its name, which
+    is ``as_of`` in UTC; without a zone it is taken in the driver's, as :func:`apply_snapshot` does.
     """
-    root, state = root.rstrip("/"), f"{as_of:%Y%m%dT%H%M%S%f}"
+    root, state = root.rstrip("/"), f"{as_of.astimezone(timezone.utc):{_STATE}}"
     before = [s for s in _published_states(history.sparkSession, root) if s < state]
     ended = history.filter(F.col("valid_to").isNotNull())
     if before:
-        ended = ended.filter(F.date_format("valid_to", "yyyyMMdd'T'HHmmssSSSSSS") > before[-1])
+        ended = ended.filter(F.col("valid_to") > F.lit(datetime.strptime(before[-1], _STATE).replace(tzinfo=timezone.utc)))
     ended.write.mode("overwrite").parquet(f"{root}/{_CLOSED}/as_of={state}")
     history.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(f"{root}/{_OPEN}/as_of={state}")
     history.sparkSession.createDataFrame([(state,)], "state string").coalesce(1).write.mode("append").parquet(

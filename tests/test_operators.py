@@ -278,3 +278,27 @@ def test_statistics(spark):
         "v", (F.lit(100) / F.lit(3)).cast("decimal(18,6)"))
     shown = {r.l: r.s for r in S.largest_remainder(thirds, ["g"], "l", "v", "s").collect()}
     assert shown == {"a": Decimal("33.4"), "b": Decimal("33.3"), "c": Decimal("33.3")}
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo", "UTC"])
+def test_published_history_in_any_zone_of_the_driver(spark, tmp_path, monkeypatch, zone):
+    import time
+    from datetime import datetime
+
+    from tallyloom.operators import history as type_2
+
+    monkeypatch.setenv("TZ", zone)
+    time.tzset()
+    try:
+        root = str(tmp_path / "history")
+        kept = type_2.empty_history(spark.createDataFrame([], "k long, v string"))
+        for hour, value in enumerate(["a", "b", "c", "c"]):
+            source = spark.createDataFrame([(1, value), (2, "same")], "k long, v string")
+            as_of = datetime(2024, 5, 1, 10 + hour)
+            kept = type_2.apply_snapshot(kept, source, "k", ["v"], as_of).localCheckpoint()
+            type_2.publish_history(kept, root, as_of)
+            got = type_2.read_history(spark, root, kept.schema).select("k", "v").collect()
+            assert sorted(map(tuple, got)) == sorted(map(tuple, kept.select("k", "v").collect()))
+    finally:
+        monkeypatch.undo()
+        time.tzset()
