@@ -12,7 +12,7 @@ from tallyloom.session import tune
 Runner = Callable[[SparkSession, str], DataFrame]
 MODULES = (
     "license_scan", "exact_dedup", "source_mix", "html_blocks", "decontamination", "ngram_join", "passage_dedup",
-    "toxicity", "language_id", "token_rollup", "periodic_runs", "vector_codes",
+    "toxicity", "language_id", "token_rollup", "periodic_runs", "personal_data", "vector_codes",
 )
 QUERIES: dict[str, Runner] = {}
 SQL: dict[str, str] = {}
