@@ -2,13 +2,14 @@
 
 The hashes of all K words in a row are taken over the whole text, and of every ``WINDOW - K + 1``
 neighbouring hashes the smallest is kept.  Two texts that share ``WINDOW`` words in a row keep the
-same hash inside them, so a join of the kept hashes meets every shared window.  A hit fixes how the
-item lies along the document; there the words themselves are compared, window by window, and all
-words inside equal windows are hit.  Items shorter than a window are one window: their length is
-their own K, and every position of a document is kept for it.
+same hash inside them, so a join of the kept hashes meets every shared window.  A hit is extended to
+the windows that hold it, and their words are compared with the items' windows; all words inside equal
+windows are hit.  Items shorter than a window are one window: their length is their own K, and every
+position of a document is kept for it.
 
 Everything runs in the JVM.  Only narrow (document, place, hash) rows meet the benchmark's hashes,
-and texts are read again only for documents with hits.
+and texts are read again only for documents with hits.  A document's place is looked at once, however
+often its words repeat in it or in an item.
 """
 
 from __future__ import annotations
@@ -76,6 +77,11 @@ def _fingerprints(rows: DataFrame, keep: list[str], words: str, short: list[int]
     )
 
 
+def _window(words: str, begin: Column, length: Column) -> Column:
+    """Words in a row as one text; no word holds a space."""
+    return F.array_join(F.slice(words, begin, length), " ")
+
+
 def hit_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:
     """``doc_id, text_hash, item_id, begin, length``: every window of an item that stands in a document."""
     bench = durable(
@@ -85,47 +91,47 @@ def hit_windows(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_
     )
     lengths = bench.where(F.size("i_words") < WINDOW).select(F.size("i_words").alias("n")).distinct()
     short = sorted(row["n"] for row in lengths.collect())  # at most WINDOW - 1 values
-    bench = bench.withColumn("i_key", F.xxhash64("item_id", "i_words"))
-    sides = _fingerprints(bench, ["i_key", "i_words"], "i_words", short)
+    length = F.least(F.lit(WINDOW), F.size("i_words"))
+    sides = _fingerprints(bench.select("i_words", length.alias("i_length")), ["i_length"], "i_words", short)
     sides = durable(
-        sides.where(F.least(F.lit(WINDOW), F.size("i_words")) == F.col("length"))
-        .select("i_key", F.col("length").alias("i_length"), F.col("place").alias("i_place"), F.col("hash").alias("i_hash")),
-        "benchmark-prints",
+        sides.where("i_length = length").select("i_length", F.col("hash").alias("i_hash")).distinct(), "benchmark-prints"
     )
     sides = F.broadcast(sides) if sides.count() <= BROADCAST_ROWS else sides
-    # A word takes up to 16 bytes of an array besides its own; a row with its key about 64.
-    word_bytes = F.aggregate("i_words", F.lit(64).cast("long"), lambda total, w: total + F.octet_length(w) + 16)
-    held = bench.agg(F.sum(word_bytes)).first()[0] or 0
-    bench = F.broadcast(bench) if held <= BROADCAST_BYTES else bench
+    windows = F.transform(F.sequence(F.lit(1), F.size("i_words") - length + 1), lambda i: _window("i_words", i, length))
+    known = durable(
+        bench.select("item_id", length.alias("i_length"), F.explode(F.array_distinct(windows)).alias("i_window")).distinct(),
+        "benchmark-windows",
+    )
+    held = known.agg(F.sum(F.octet_length("i_window") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 64)).first()[0] or 0
+    known = F.broadcast(known) if held <= BROADCAST_BYTES else known
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
         ascii_words(F.col("text")).alias("words"),
     )
     prints = _fingerprints(rows, ["doc_id", "text_hash"], "words", short)
     same = (F.col("hash") == F.col("i_hash")) & (F.col("length") == F.col("i_length"))
-    lines = durable(
-        prints.join(sides, same).select("doc_id", "text_hash", "i_key", (F.col("place") - F.col("i_place")).alias("offset")).distinct(),
-        "benchmark-lines",
+    places = durable(
+        prints.join(sides, same, "left_semi").select("doc_id", "text_hash", "length", "place").distinct(), "benchmark-places"
     )
-    found = lines.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("i_key", "offset")).alias("lines"))
-    found = F.broadcast(found) if lines.count() <= BROADCAST_ROWS else found
+    found = places.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("length", "place")).alias("places"))
+    found = F.broadcast(found) if places.count() <= BROADCAST_ROWS else found
     texts = docs.select(F.col(id_col).cast("long").alias("d"), F.xxhash64("text").alias("t"), "text")
     near = texts.join(found, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("t") == F.col("text_hash")))
-    near = near.select("doc_id", "text_hash", ascii_words(F.col("text")).alias("words"), "lines")
-    near = near.select("doc_id", "text_hash", "words", F.explode("lines").alias("l"))
-    near = near.select("doc_id", "text_hash", "l.*", "words")
-    aligned = near.join(bench, "i_key")
-    length = F.least(F.lit(WINDOW), F.size("i_words"))
-    begins = F.sequence(
-        F.greatest(F.lit(0), -F.col("offset")),
-        F.greatest(F.lit(0), -F.col("offset"), F.least(F.size("i_words"), F.size("words") - F.col("offset")) - length),
-    )
-    equal = F.filter(
-        begins, lambda i: F.slice("words", i + F.col("offset") + 1, length) == F.slice("i_words", i + 1, length)
-    )
-    return aligned.select(
-        "doc_id", "text_hash", "item_id", F.explode(equal).alias("at"), F.col("offset"), length.alias("length")
-    ).select("doc_id", "text_hash", "item_id", (F.col("at") + F.col("offset")).alias("begin"), "length").distinct()
+    near = near.select("doc_id", "text_hash", ascii_words(F.col("text")).alias("words"), "places")
+    # A window as one number, begin and length, so that distinct ones are found by hash.
+    around = F.array_distinct(F.flatten(F.transform("places", lambda p: F.transform(
+        F.sequence(F.lit(0), F.when(p["length"] == WINDOW, WINDOW - K).otherwise(0)),
+        lambda back: (p["place"] - back).cast("long") * (WINDOW + 1) + p["length"],
+    ))))
+    near = near.select("doc_id", "text_hash", "words", F.filter(around, lambda w: w >= 0).alias("around"))
+    begin, length = (lambda w: F.floor(w / (WINDOW + 1)).cast("int")), (lambda w: (w % (WINDOW + 1)).cast("int"))
+    inside = F.filter("around", lambda w: begin(w) + length(w) <= F.size("words"))
+    told = F.transform(inside, lambda w: F.struct(
+        begin(w).alias("begin"), length(w).alias("length"), _window("words", begin(w) + 1, length(w)).alias("window"),
+    ))
+    near = near.select("doc_id", "text_hash", F.explode(told).alias("w")).select("doc_id", "text_hash", "w.*")
+    equal = (F.col("window") == F.col("i_window")) & (F.col("length") == F.col("i_length"))
+    return near.join(known, equal).select("doc_id", "text_hash", "item_id", "begin", "length").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col: str = "item_id") -> DataFrame:

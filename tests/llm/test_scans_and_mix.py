@@ -94,13 +94,22 @@ def test_long_benchmark_items_are_not_broadcast(spark, make_docs, monkeypatch):
     sent = []
     broadcast = decontamination.F.broadcast
     monkeypatch.setattr(decontamination.F, "broadcast", lambda df: sent.append(df.columns) or broadcast(df))
-    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 10_000, raising=False)
+    monkeypatch.setattr(decontamination, "BROADCAST_BYTES", 30_000, raising=False)
     long = " ".join(f"b{i}" for i in range(3000))
     docs = make_docs([(1, "before " + " ".join(f"b{i}" for i in range(100, 140)), "en", "a")])
     for text, small in ((long, False), (long[:900], True)):
         sent.clear()
         hits = decontamination.hit_windows(docs, spark.createDataFrame([(1, text)], "item_id long, text string"))
-        assert hits.count() == 31 and any("i_words" in columns for columns in sent) == small
+        assert hits.count() == 31 and any("i_window" in columns for columns in sent) == small
+
+
+def test_repetitive_texts_take_time_in_proportion(spark, make_docs):
+    """One word many times, in documents and in items: each place is looked at once."""
+    items = spark.createDataFrame([(1, "a " * 14), (2, "a " * 5000), (3, "a b " * 3000), (4, "a " * 3)], "item_id long, text string")
+    docs = make_docs([(1, "a " * 100_000, "en", "a"), (2, "a b " * 50_000, "en", "a"), (3, "b", "en", "a")] + [(4, "a " * 20_000, "en", "a")] * 5)
+    got = {r.doc_id: r for r in decontamination.contamination(docs, items).collect()}
+    assert [got[i].n_hit for i in (1, 2, 3, 4)] == [100_000, 100_000, 0, 20_000]
+    assert [got[i].n_items for i in (1, 2, 3, 4)] == [3, 1, 0, 3]
 
 
 def fill_by_turns(sizes, weights, cap=3):
