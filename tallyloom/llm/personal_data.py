@@ -99,7 +99,9 @@ NEAR = 160  # characters between spans that keep each other company
 
 NOTHING, NO, YES = 0, 1, 2
 LABELERS = ("form", "gazetteer", "context", "edge", "variety", "company")
-FEATURES = (("kind", len(KINDS)), ("length", 7), ("digits", 5), ("left", 4), ("right", 4), ("cue", 3), ("variety", 4))
+FEATURES = (("kind", len(KINDS)), ("length", 7), ("digits", 5), ("left", 4), ("right", 4), ("cue", 3), ("variety", 4), ("form", 2))
+#: Where the classifier's weights start and are drawn to, so that values never seen in training still count.
+PRIOR = {("left", 2): -2.0, ("right", 2): -2.0, ("cue", NO): -2.0, ("cue", YES): 1.0, ("variety", 0): -2.0, ("form", 0): -2.0}
 THRESHOLD = 0.5
 
 
@@ -288,7 +290,8 @@ def _described(spans: Column) -> Column:
         share = F.floor(x["digits"] * 4 / x["length"]).cast("int")
         return F.struct(
             x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["base"].alias("base"), code.alias("votes"),
-            F.array(x["kind"], length, share, x["before"], x["after"], x["cue"], x["variety"]).alias("features"),
+            F.array(x["kind"], length, share, x["before"], x["after"], x["cue"], x["variety"],
+                    F.when(x["form"], 1).otherwise(0)).alias("features"),
         )
 
     return F.transform(spans, one)
@@ -367,16 +370,20 @@ def estimate(kinds: np.ndarray, votes: np.ndarray, counts: np.ndarray, rounds: i
 
 
 def fit(values: np.ndarray, target: np.ndarray, counts: np.ndarray, steps: int = 60, decay: float = 1.0) -> tuple[float, list[np.ndarray]]:
-    """Logistic regression on one-hot features by Newton's method; ``target`` is a probability per row."""
+    """Logistic regression on one-hot features by Newton's method; ``target`` is a probability per row.
+
+    ``decay`` draws the weights to ``PRIOR``.
+    """
     sizes = [size for _, size in FEATURES]
     x = np.zeros((len(values), 1 + sum(sizes)))
     x[:, 0] = 1
     for n, (at, size) in enumerate(zip(np.cumsum([1, *sizes[:-1]]), sizes)):
         x[np.arange(len(values)), at + values[:, n]] = 1
-    w = np.zeros(x.shape[1])
+    prior = np.array([0.0, *(PRIOR.get((name, value), 0.0) for name, size in FEATURES for value in range(size))])
+    w = prior.copy()
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -40, 40)))
-        slope = x.T @ (counts * (p - target)) + decay * w
+        slope = x.T @ (counts * (p - target)) + decay * (w - prior)
         bend = (x * (counts * np.maximum(p * (1 - p), 1e-6))[:, None]).T @ x + decay * np.eye(len(w))
         move = np.linalg.solve(bend, slope)
         w -= move * min(1.0, 4 / max(1e-9, np.abs(move).max()))
