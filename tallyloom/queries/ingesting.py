@@ -52,6 +52,29 @@ def delimited_text(spark, sf_dir):
     )
 
 
+@query("quoted_ranges", """
+SELECT CAST(c_custkey AS VARCHAR) AS key, c_name || chr(10) || '"' || c_mktsegment || '";' || repeat(chr(10) || c_name, CAST(c_custkey % 5 AS INTEGER)) AS note,
+  CASE WHEN c_custkey % 3 = 0 THEN '' ELSE CAST(c_nationkey AS VARCHAR) END AS nation FROM customer""")
+def quoted_ranges(spark, sf_dir):
+    """One file with line breaks, quotes and separators in quotes, read in ranges of 32 KB."""
+    note = F.concat("c_name", F.lit('\n"'), "c_mktsegment", F.lit('";'), F.expr("repeat('\n' || c_name, cast(c_custkey % 5 AS int))"))
+    rows = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("key"), note.alias("note"),
+        F.when(F.pmod("c_custkey", F.lit(3)) == 0, "").otherwise(F.col("c_nationkey").cast("string")).alias("nation"),
+    )
+    path = scratch_path(spark, "quoted")
+    rows.coalesce(1).write.csv(path, sep=";", header=True, encoding="ISO-8859-1", escape='"')
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(name) for name in names]
+    try:
+        for name, value in zip(names, ("32k", "1k")):
+            spark.conf.set(name, value)
+        return durable(read_delimited_text(spark, path, origin=False), "quoted-rows")
+    finally:
+        for name, value in zip(names, before):
+            spark.conf.set(name, value)
+
+
 def _archives(rows):
     """Zip archives, one per incoming batch: two members with different columns and a text file."""
 

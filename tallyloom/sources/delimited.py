@@ -11,6 +11,8 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tallyloom.sources.quoted_ranges import read_quoted_text
+
 ORIGIN_COLUMN = "_arquivo_origem"
 _BATCH_ROWS = 10_000
 
@@ -21,12 +23,14 @@ def string_schema(names: Iterable[str]) -> T.StructType:
 
 def read_delimited_text(
     spark: SparkSession, path: str | list[str], sep: str = ";", encoding: str = "ISO-8859-1",
-    origin: bool = True, multi_line: bool = True,
+    origin: bool = True, multi_line: bool = True, by_ranges: bool = True,
 ) -> DataFrame:
     """All-string scan of delimited files with a header; no value is read as NULL.
 
     A line with more or fewer values than the header fails the read.  Quoted fields may hold line
-    breaks, so a file is one task; pass ``multi_line=False`` to split files known to have none.
+    breaks; a file is still read by many tasks, see :mod:`tallyloom.sources.quoted_ranges`.  Files with
+    quotes inside unquoted values need ``by_ranges=False``, which makes each file one task; pass
+    ``multi_line=False`` for files known to have no quoted breaks.
 
     The header is taken from the files; names are trimmed.  Files with other columns belong in a
     call of their own, joined by :func:`union_parts`.
@@ -37,6 +41,9 @@ def read_delimited_text(
         path, sep=sep, encoding=encoding, header=True, inferSchema=False, enforceSchema=False,
         quote='"', escape='"', multiLine=multi_line, emptyValue="", nullValue="\u0000", mode="FAILFAST",
     )
+    if multi_line and by_ranges:
+        names = [name.strip() for name in df.columns]
+        return read_quoted_text(spark, path, names, sep, encoding, ORIGIN_COLUMN if origin else None).fillna("")
     file_name = F.col("_metadata.file_name").alias(ORIGIN_COLUMN)
     columns = [F.col(f"`{name}`").alias(name.strip()) for name in df.columns]
     filled = df.select(*columns, *([file_name] if origin else []))
