@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tallyloom.operators.joins import count_unlisted, reconcile_keys, without_mirrored
-from tallyloom.operators.linkage import best_links
+from tallyloom.operators.linkage import best_links, match_names
 from tallyloom.queries import query, table
 
 
@@ -96,6 +96,21 @@ def record_linkage(spark, sf_dir):
     return best_links(left, right)
 
 
+@query("regex_name_matches", """
+WITH p AS (SELECT DISTINCT CASE n_nationkey % 5 WHEN 0 THEN '^' || substr(n_name, 1, 4) || '.*BUILD' WHEN 1 THEN substr(n_name, 2, 4) || '[A-Z]* +(AUTO|MACH).+[0-4]$'
+    WHEN 2 THEN n_name || '|' || substr(n_name, 1, 2) WHEN 3 THEN 'x?' || n_name || ' FURN|HOUSE.*' || n_nationkey || '$' ELSE '9' || n_nationkey || '+$|' || substr(n_name, 1, 5) || '\\w+ \\w+D 7' END AS pattern FROM nation),
+m AS (SELECT DISTINCT n_name || ' ' || c_mktsegment || ' ' || (c_custkey % 1000) AS name FROM customer JOIN nation ON n_nationkey = c_nationkey)
+SELECT pattern, name FROM p JOIN m ON regexp_matches(name, pattern)""")
+def regex_name_matches(spark, sf_dir):
+    """Regexes of many shapes, none of them listed beforehand, against the distinct names."""
+    nation, customer = table(spark, sf_dir, "nation"), table(spark, sf_dir, "customer")
+    pattern = F.expr(r"""CASE n_nationkey % 5 WHEN 0 THEN '^' || substr(n_name, 1, 4) || '.*BUILD' WHEN 1 THEN substr(n_name, 2, 4) || '[A-Z]* +(AUTO|MACH).+[0-4]$'
+        WHEN 2 THEN n_name || '|' || substr(n_name, 1, 2) WHEN 3 THEN 'x?' || n_name || ' FURN|HOUSE.*' || n_nationkey || '$' ELSE '9' || n_nationkey || '+$|' || substr(n_name, 1, 5) || '\\w+ \\w+D 7' END""")
+    named = customer.join(nation, F.col("n_nationkey") == F.col("c_nationkey"))
+    names = named.select(F.concat_ws(" ", "n_name", "c_mktsegment", F.pmod("c_custkey", F.lit(1000)).cast("string")).alias("name"))
+    return match_names(nation.select(pattern.alias("pattern")), names)
+
+
 @query("latest_day_orders", """
 SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders
 WHERE o_orderdate = (SELECT max(o_orderdate) FROM orders)""")

@@ -14,6 +14,7 @@ from tallyloom.operators.entity import canonical_spellings, lookup_by_name_key,
 from tallyloom.operators.history import apply_snapshot, empty_history
 from tallyloom.operators.joins import attach_group_values, count_unlisted, without_mirrored
 from tallyloom.operators.keys import content_key, member_set_key
+from tallyloom.operators import automaton, linkage
 from tallyloom.operators.linkage import LinkRules, best_links, match_names
 from tallyloom.operators.numbering import number_rows
 from tallyloom.operators.reshape import columns_with_suffix, unpivot_columns
@@ -75,7 +76,7 @@ def test_linkage_equals_comparing_all_pairs(spark, seed):
     schema = "{0}_id long, {1} string, start date, end date, size int"
     got = best_links(
         spark.createDataFrame(left, schema.format("left", "pattern")),
-        spark.createDataFrame(right, schema.format("right", "name")), rules, regexes=["gam+a"],
+        spark.createDataFrame(right, schema.format("right", "name")), rules,
     ).collect()
     assert {r.left_id: (r.right_id, r.distance) for r in got} == brute_links(left, right, rules)
     assert len(got) == len({r.left_id for r in got})
@@ -94,11 +95,38 @@ def test_linkage_of_one_hot_institute(spark):
     assert {r.left_id: (r.right_id, r.distance) for r in got} == brute_links(left, right, LinkRules())
 
 
-def test_unlisted_regex_is_refused(spark):
-    patterns = spark.createDataFrame([("a.b",)], "pattern string")
-    names = spark.createDataFrame([("axb",)], "name string")
-    with pytest.raises(Exception, match="not listed"):
-        match_names(patterns, names).collect()
+@pytest.mark.parametrize("chars", [10**6, 0])
+def test_regexes_need_not_be_listed(spark, monkeypatch, chars):
+    """By the automaton and by substrings, with regexes that require a text and some that do not."""
+    monkeypatch.setattr(linkage, "AUTOMATON_CHARS", chars)
+    patterns = ["a.b", "x+y", "^za|wab+$", "[0-9]{3}", "(ab|cd)ef", "(?i)QU", "q|b", "no.*pe", "a|", r"\.c", "aa", "", "\\d+z", "u?"]
+    names = ["axb", "xxy", "zab", "wabb", "id123", "cdef", "quo", "no rope", "a.c", "aaa", "7z", "", None, "ba" * 30]
+    rows = match_names(spark.createDataFrame([(p,) for p in patterns * 2], "pattern string"), spark.createDataFrame([(n,) for n in names * 2], "name string"))
+    want = set()
+    for p in patterns:
+        words = [w for w in p.split("|") if w] if re.search(automaton.PLAIN, p) else [p]
+        want |= {(p, n) for n in names if n is not None for w in words if re.search(w, n)}
+    got = [(r.pattern, r.name) for r in rows.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_required_texts():
+    cases = {
+        "abc": ["abc"], "ab*c": ["a"], "ab+cd": ["bcd"], "x(ab|cd)efg": ["efg"], "a|bc": ["a", "bc"], "a.|b?": [], "[ab]cd": ["cd"],
+        r"\bdata ?folha\.br": ["folha.br"], r"a\|b": ["a|b"], "(?i)abc": [], "ab{2}cde": ["cde"], r"ab\x41": ["ab"], "[^]]ab": ["ab"], r"\Qa|b\E": [],
+    }
+    assert {regex: automaton.required_texts(regex) for regex in cases} == cases
+
+
+def test_automaton_equals_looking_for_each_word():
+    rng = random.Random(2)
+    make = lambda n: "".join(rng.choice("abc") for _ in range(rng.randrange(n)))
+    for _ in range(60):
+        words = [make(7) for _ in range(rng.randrange(30))]
+        machine = automaton.Automaton(words)
+        for _ in range(20):
+            text = make(60)
+            assert machine.words_in(text) == {w for w in words if w and w in text}
 
 
 def test_linkage_plan_has_no_nested_loop(spark):
