@@ -1,6 +1,8 @@
 """Reading and landing: delimited text, archives, HTML tables, raw tables, text blocks."""
 
 import io
+import os
+import uuid
 import zipfile
 from datetime import datetime
 
@@ -16,7 +18,7 @@ from tallyloom.sinks.blocks import write_block
 from tallyloom.sinks.raw_tables import land_table, read_raw
 from tallyloom.sources.blocks import parse_lines, read_block
 from tallyloom.sources.delimited import (
-    ORIGIN_COLUMN, read_delimited_text, rows_of_archives, tagged, union_parts,
+    ORIGIN_COLUMN, read_delimited_text, read_zipped_csv, rows_of_archives, tagged, union_parts,
 )
 from tallyloom.sources.html_tables import extract_html_tables
 from tallyloom.sources.registry import land_sources
@@ -105,6 +107,33 @@ def zipped_csv(spark, sf_dir):
     return read.withColumnRenamed(ORIGIN_COLUMN, "member")
 
 
+@query("zipped_files", """
+SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS key, CASE WHEN c_custkey % 2 = 0 THEN 'Seção "' || c_mktsegment || '"' || chr(10) || 'b;' ELSE '' END AS label,
+  CASE WHEN c_custkey % 2 = 0 THEN 'PART.CSV' ELSE 'more.csv' END AS member FROM customer""")
+def zipped_files(spark, sf_dir):
+    """The archives as files in the shared folder, read by the data source, one task per member."""
+    rows = shared_table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias(" name"), F.col("c_custkey").cast("string").alias("key"),
+        F.concat(F.lit('Seção "'), "c_mktsegment", F.lit('"\nb;')).alias("label"),
+        F.pmod("c_custkey", F.lit(2)).alias("odd"),
+    )
+    folder = scratch_path(spark, "zips").removeprefix("file://").removeprefix("file:")
+
+    def save(batches):
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"]):
+                with open(f"{folder}/{uuid.uuid4().hex}.tmp", "wb") as file:
+                    file.write(content)
+                os.replace(file.name, f"{folder}/{name}")  # a task that runs again replaces its archive
+            yield pd.DataFrame({"saved": [len(batch)]})
+
+    _archives(rows).mapInPandas(save, "saved int").agg(F.sum("saved")).first()
+    if not os.path.isdir(folder):  # no rows, no archives
+        return rows_of_archives(_archives(rows), ["key", "label", "name"]).withColumnRenamed(ORIGIN_COLUMN, "member")
+    return read_zipped_csv(spark, folder).withColumnRenamed(ORIGIN_COLUMN, "member")
+
+
 _PAGE_TABLES = """html || '<table class="wikitable sortable"><tr><th rowspan="2">Instituto</th>'
  || '<th rowspan="2">Data</th><th colspan="2">Nomes</th><th rowspan="2">Amostra</th></tr>'
  || '<tr><th>Um<br>PA</th><th>Dois PB</th></tr><tr><td rowspan="2">Inst ' || page_id || '<sup>[1]</sup></td>'

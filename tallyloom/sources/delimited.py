@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tallyloom.sources.quoted_ranges import read_quoted_text
+from tallyloom.sources.zipped_source import ZippedCsvSource, register_zipped_csv
 
 ORIGIN_COLUMN = "_arquivo_origem"
 _BATCH_ROWS = 10_000
@@ -117,11 +118,22 @@ def _frames(reader: Iterator[list[str]], header: list[str], names: list[str], me
 
 
 def read_zipped_csv(
-    spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ";", encoding: str = "latin-1"
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, sep: str = ";", encoding: str = "latin-1",
+    by_member: bool = True,
 ) -> DataFrame:
-    """CSV members of every zip archive under ``path``; archives are spread over the tasks."""
-    archives = spark.read.format("binaryFile").load(path)
-    return rows_of_archives(archives, columns, sep, encoding)
+    """CSV members of every zip archive under ``path``, one task per member.
+
+    Rows are as in :func:`rows_of_archives`.  The archives must lie on a mounted folder or in a store that
+    Arrow opens; ``by_member=False`` reads archives of any store that Spark reads, each in one task and
+    whole in memory.
+    """
+    if not by_member:
+        return rows_of_archives(spark.read.format("binaryFile").load(path), columns, sep, encoding)
+    register_zipped_csv(spark)
+    reader = spark.read.format(ZippedCsvSource.name()).option("sep", sep).option("encoding", encoding).option("origin", ORIGIN_COLUMN)
+    if columns is not None:
+        reader = reader.option("columns", "\n".join(columns)).option("strict", "true")
+    return reader.load(path)
 
 
 def union_parts(parts: Sequence[DataFrame]) -> DataFrame:

@@ -70,6 +70,24 @@ def test_zip_members(spark, tmp_path):
         read_zipped_csv(spark, str(tmp_path), ["A", "B"]).collect()
 
 
+def test_a_member_of_an_archive_is_a_task(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "two.zip", "w", zipfile.ZIP_DEFLATED) as z:
+        for name in ("a.csv", "b.csv"):
+            z.writestr(name, "k;v\n" + "".join(f"{i};{name}\n" for i in range(30_000)))
+    (tmp_path / "sub").mkdir()
+    with zipfile.ZipFile(tmp_path / "sub" / "one.zip", "w") as z:
+        z.writestr("c.csv", 'v;w\n"x\ny";1\n\n')
+    df = read_zipped_csv(spark, str(tmp_path))
+    assert df.columns == ["k", "v", "w", ORIGIN_COLUMN] and df.rdd.getNumPartitions() == 3
+    assert df.count() == 60_001 and df.where("w = '1'").first().v == "x\ny"
+    only = df.where(F.col(ORIGIN_COLUMN) == "a.csv")
+    assert only.rdd.getNumPartitions() == 1 and only.count() == 30_000
+    some = spark.read.format("zipped_csv").option("columns", "v").load(f"file://{tmp_path}/two.zip")
+    assert some.columns == ["v", ORIGIN_COLUMN] and some.count() == 60_000
+    assert sorted(map(tuple, read_zipped_csv(spark, str(tmp_path / "sub")).collect())) == sorted(
+        map(tuple, read_zipped_csv(spark, str(tmp_path / "sub"), by_member=False).collect()))
+
+
 def test_column_names():
     names = ["a b", "A (b)", "a_b", "", "  ", "_x", "c,;d="]
     assert clean_column_names(names) == ["a_b", "A_b_2", "a_b_3", "coluna", "coluna_2", "_x", "c_d"]
