@@ -5,8 +5,8 @@ density, those of the blocks before and after it, and two marks from the element
 furniture (menus, footers, forms, adverts, comments and the like) or an article.  A small decision
 tree, trained on the labelled blocks below, tells main text from the rest.
 
-Markup is read with a tolerant scanner: unknown, unclosed and broken tags never fail, and scripts,
-styles, comments and hidden elements give no text.  Pages are independent, so the work is one pass
+Markup is read with a tolerant scanner: unknown, unclosed and broken tags never fail, time grows with the
+page, and scripts, styles, comments and hidden elements give no text.  Pages are independent, so the work is one pass
 over the table.
 """
 
@@ -32,6 +32,7 @@ BLOCK_TAGS = frozenset(
     "menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split()
 )
 ENDS_PARAGRAPH = BLOCK_TAGS - frozenset("html head body".split())
+_BARRIERS = ENDS_PARAGRAPH - {"p"}
 SILENT = frozenset("head svg math object audio video canvas select button datalist".split())
 FURNITURE_TAGS = frozenset("nav footer aside form menu dialog fieldset".split())
 ARTICLE_TAGS = frozenset("article main".split())
@@ -53,6 +54,10 @@ TEASER_NAMES = frozenset(
     "navigation menu footer complementary contentinfo".split()
 )
 WRAPS, TEASER, FIRM = 0, 1, 2
+# First words of names that say what an article is about; they mark nothing.
+TAXONOMY = frozenset("tag category cat format status type author term topic".split())
+# Stands for any element that ends a paragraph, but paragraphs themselves.
+_BARRIER = "#"
 
 # A small labelled table of blocks: words, link density, words and link density of the block before
 # and of the block after, marks (furniture, article), and 1 for main text.
@@ -140,11 +145,9 @@ LABELLED = """
 """
 FEATURES = ("words", "density", "words_before", "density_before", "words_after", "density_after", "furniture", "article")
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
-    re.S,
-)
-_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|([^\s=\"'<>/]+)")
+_TAG = re.compile(r"(/?)([a-zA-Z][^\s/><]*+)")
+_UP_TO_QUOTE = re.compile(r"[^>\"']*+")
+_ATTRIBUTE = re.compile(r"([^\s=\"'<>/]++)\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++))|([^\s=\"'<>/]++)")
 _NAME = re.compile(r"[a-z]+")
 _FORM_PART = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?(?:</\1|\Z)|<(/form|article|main|div|section)\b([^>]*)", re.S | re.I)
 
@@ -161,7 +164,7 @@ class Block:
         return " ".join("".join(self.parts).split())
 
 
-@dataclass
+@dataclass(slots=True)
 class _Open:
     tag: str
     silent: bool
@@ -185,7 +188,7 @@ def _names(attributes: dict[str, str]) -> list[list[str]]:
     for name in " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower().split():
         words = _NAME.findall(name)
         cut = next((i for i, w in enumerate(words) if w in MODIFIERS), len(words))
-        if cut:
+        if cut and not (cut > 1 and words[0] in TAXONOMY):
             found.append(words[:cut])
     return found
 
@@ -198,6 +201,11 @@ def _furniture_names(names: list[list[str]], in_article: bool) -> set[str]:
     return found
 
 
+def _names_article(words: list[str]) -> bool:
+    """Whether a name says that the element is an article, and nothing else."""
+    return ARTICLE_NAMES.issuperset(words) and bool(set(words) - {"content", "body", "text"})
+
+
 def _is_article(tag: str, attributes: dict[str, str]) -> bool:
     return tag in ARTICLE_TAGS or attributes.get("role", "").strip().lower() in ARTICLE_TAGS
 
@@ -207,7 +215,8 @@ def _opened(tag: str, attributes: dict[str, str], around: _Open, around_article:
 
     An article or main element is an article also inside furniture that only wraps it, but not in menus,
     footers, asides and, unless it is the main one, comments and teasers.  A form is no mark with
-    ``around_article``.
+    ``around_article``.  An article element keeps its text whatever its names, but those of comments and
+    teasers; so does an element with a name that is wholly an article's.
     """
     style = attributes.get("style", "").lower().replace(" ", "")
     hidden = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true"
@@ -218,6 +227,8 @@ def _opened(tag: str, attributes: dict[str, str], around: _Open, around_article:
         marks = _furniture_names(names, around.article)
         own_header = tag == "header" and not around.article
         element = _is_article(tag, attributes)
+        if element or marks.isdisjoint(TEASER_NAMES) and any(map(_names_article, names)):
+            marks &= TEASER_NAMES
         if tag == "form" and around_article:
             pass
         elif tag in FURNITURE_TAGS or own_header or marks and not (element and marks <= HEADER_NAMES):
@@ -239,12 +250,49 @@ def _form_parts(page: str) -> tuple[list[int], list[int]]:
             ends.append(m.start())
         elif tag:
             attributes = _attributes(m[3])
-            whole = any(ARTICLE_NAMES.issuperset(w) and set(w) - {"content", "body", "text"} for w in _names(attributes))
-            if whole or _is_article(tag, attributes):
+            if any(map(_names_article, _names(attributes))) or _is_article(tag, attributes):
                 articles.append(m.start())
     return ends, articles
 
 
+class _Tokens:
+    """Tags and comments of a page in order; time grows with the page, whatever it holds."""
+
+    def __init__(self, page: str) -> None:
+        self.page, self.last, self.quotes = page, page.rfind(">"), True
+
+    def _end(self, at: int) -> int:
+        """The place after a tag whose attributes begin at ``at``.
+
+        Once a tag's quotes turn out never to close, quotes are no longer looked at.
+        """
+        page, place = self.page, at
+        while self.quotes:
+            place = _UP_TO_QUOTE.match(page, place).end()
+            if page[place : place + 1] == ">":
+                return place + 1
+            closed = page.find(page[place], place + 1) if place < len(page) else -1
+            if closed < 0:
+                self.quotes = False
+            place = closed + 1
+        return page.find(">", at) + 1
+
+    def after(self, at: int) -> tuple[int, int, str, str | None, str] | None:
+        """Start, end, slash, name and attributes of the next tag; a comment has no name."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                return start, page.find("-->", start + 4) + 3 if page.find("-->", start + 4) >= 0 else len(page), "", None, ""
+            if page[start + 1 : start + 2] in ("!", "?"):
+                return start, page.find(">", start) + 1 or len(page), "", None, ""
+            name = _TAG.match(page, start + 1) if start < self.last else None
+            if name and name.end() <= self.last:
+                end = self._end(name.end())
+                return start, end, name[1], name[2], page[name.end() : end - 1]
+            at = start + 1
+        return None
+
+
 def blocks_of(page: str | None) -> list[Block]:
     """Text blocks in page order; blocks without words are left out."""
     stack = [_Open("", False, False, False, False)]
@@ -268,15 +316,28 @@ def blocks_of(page: str | None) -> list[Block]:
         if top.link:
             current.links.append(text)
 
-    def leave(tag: str, stop: frozenset[str] = frozenset()) -> None:
-        for depth in range(len(stack) - 1, 0, -1):
-            if stack[depth].tag == tag:
-                del stack[depth:]
-                return
-            if stack[depth].tag in stop:
-                return
+    places: dict[str, list[int]] = {}  # where the open elements of each tag are in the stack
+
+    def enter(opened: _Open) -> None:
+        for key in (opened.tag, _BARRIER) if opened.tag in _BARRIERS else (opened.tag,):
+            places.setdefault(key, []).append(len(stack))
+        stack.append(opened)
+
+    def last(key: str) -> int:
+        return places[key][-1] if places.get(key) else 0
+
+    def leave(tag: str, *stops: str) -> None:
+        """Close the innermost element of the tag and all in it, unless a stop stands in between."""
+        depth = last(tag)
+        if depth and all(depth >= last(stop) for stop in stops):
+            for opened in stack[depth:]:
+                places[opened.tag].pop()
+                if opened.tag in _BARRIERS:
+                    places[_BARRIER].pop()
+            del stack[depth:]
 
     page, at = page or "", 0
+    tokens = _Tokens(page)
     forms: tuple[list[int], list[int]] | None = None
 
     def encloses_article() -> bool:
@@ -287,13 +348,13 @@ def blocks_of(page: str | None) -> list[Block]:
         return first < len(articles) and (end == len(ends) or articles[first] < ends[end])
 
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if m is None:
+        token = tokens.after(at)
+        if token is None:
             say(page[at:])
             break
-        say(page[at : m.start()])
-        at = m.end()
-        ends, tag = (m[1], m[2]) if m[2] else (m[4], m[5])
+        start, end, ends, tag, raw = token
+        say(page[at:start])
+        at = end
         if tag is None:
             continue
         tag = tag.lower()
@@ -301,7 +362,7 @@ def blocks_of(page: str | None) -> list[Block]:
             if tag in BLOCK_TAGS:
                 close()
             # A closing inline tag does not reach out of the block around it.
-            leave(tag, frozenset() if tag in BLOCK_TAGS else ENDS_PARAGRAPH - {"p"})
+            leave(tag, *(() if tag in BLOCK_TAGS else (_BARRIER,)))
             continue
         if tag in RAW:
             end = re.compile(rf"</{tag}\b", re.I).search(page, at)
@@ -312,16 +373,15 @@ def blocks_of(page: str | None) -> list[Block]:
         if tag in BLOCK_TAGS:
             close()
             if tag in ENDS_PARAGRAPH:
-                leave("p", ENDS_PARAGRAPH - {"p"})
+                leave("p", _BARRIER)
             if tag in ("li", "dt", "dd", "option", "tr", "td", "th"):
-                leave(tag, frozenset(("ul", "ol", "dl", "table", "select")) | ({"tr"} if tag in ("td", "th") else set()))
+                leave(tag, "ul", "ol", "dl", "table", "select", *(("tr",) if tag in ("td", "th") else ()))
         if tag == "a":
-            leave("a", ENDS_PARAGRAPH)
-        raw = m[3] if m[2] else m[6]
-        if tag not in VOID and not (raw or "").rstrip().endswith("/"):
-            stack.append(_opened(tag, _attributes(raw or ""), stack[-1], tag == "form" and encloses_article()))
+            leave("a", _BARRIER, "p")
+        if tag not in VOID and not raw.rstrip().endswith("/"):
+            enter(_opened(tag, _attributes(raw), stack[-1], tag == "form" and encloses_article()))
         elif tag not in VOID and tag not in BLOCK_TAGS and tag not in ("svg", "math"):
-            stack.append(_opened(tag, _attributes(raw or ""), stack[-1]))
+            enter(_opened(tag, _attributes(raw), stack[-1]))
     close()
     return [b for b in found if b.text]
 

@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import time
 
 import numpy as np
 import pytest
@@ -117,6 +118,35 @@ def test_article_inside_wrappers(before, after):
     assert html_blocks.main_text(page, html_blocks.train()) == f"The title {story} Short."
 
 
+@pytest.mark.parametrize("mark", [
+    "<article class='post category-news tag-social'>", "<article class='post category-notices'>", "<article class='hentry widget share'>",
+    "<div class='article-text text-widget'>", "<main id=search class='tags toolbar'>",
+])
+def test_articles_keep_their_text_whatever_their_class(mark):
+    story = "The first paragraph of the story, with enough words to be read as text by anyone who likes it."
+    end = "</" + mark[1:].split()[0] + ">"
+    page = f"<nav><a href=x>Home</a></nav>{mark}<p>{story}</p><p>Short.</p>{end}<article class='comment tag-x'><p>{story} No.</p></article>"
+    assert html_blocks.main_text(page, html_blocks.train()) == f"{story} Short."
+
+
+@pytest.mark.parametrize("part, tail", [
+    ("<p", ""), ("<p", ">"), ("<b>x", "</div>"), ("<b>x", "</i>"), ("<div>", "</p>"), ("<a title=\"x", ""), ("<a b=\">\" ", ""), ("<p a='", ""),
+    ("<!--", ""), ("<ul><li>", "</li>"), ("<a href=x>", "</a>"), ("<x y=z ", ""), ("&amp", ""), ("<form><div class=a>", "</form>"),
+])
+def test_hostile_pages_take_time_in_proportion(part, tail):
+    tree = html_blocks.train()
+
+    def taken(n):
+        page = part * n + tail * n
+        began = time.perf_counter()
+        html_blocks.main_text(page, tree)
+        return time.perf_counter() - began
+
+    taken(500)
+    small, large = taken(5_000), taken(40_000)
+    assert large < 16 * small + 1.5
+
+
 def test_form_without_an_article_is_furniture():
     page = "<article><p>Text of it.</p></article><form class=x><p>Your name and many other words that a form asks for here.</p></form>"
     named = "<form><div class='main content'><p>A page built as one form has its text in a named element of it.</p></div></form>"
