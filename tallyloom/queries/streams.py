@@ -5,8 +5,9 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from tallyloom.queries import query, table
-from tallyloom.session import scratch_path
+from tallyloom.session import durable, scratch_path
 from tallyloom.streaming.arrivals import refresh_on_arrival
+from tallyloom.streaming.closing import LateVisits, closed_days, count_expiring_devices
 from tallyloom.streaming.visits import (
     ROCKSDB_PROVIDER, STATE_STORE_SETTING, count_devices_batch, count_devices_stream,
     running_total, visits_per_day,
@@ -102,6 +103,80 @@ def visits_per_day_stream(spark, sf_dir):
     return _drain(per_day, spark, "visits", mode="complete")
 
 
+_DELAY = timedelta(days=1)
+# The times of the stretches, and the visits that are sent a second time within the delay or far too late.
+_STRETCH_SQL = """
+WITH b AS (SELECT epoch_us(min(ts)) AS low, (epoch_us(max(ts)) - epoch_us(min(ts))) // 4 + 1 AS step, max(ts) AS latest FROM events),
+e AS (SELECT event_id, ts, (epoch_us(ts) - low) // step AS stretch, latest, low, step FROM events, b)"""
+
+
+def _untidy_stream(spark, sf_dir):
+    """The stretches as files, with visits sent twice in a file, again in the next one, and days too late."""
+    events = table(spark, sf_dir, "events").select("event_id", "ts")
+    landing = scratch_path(spark, "untidy-events")
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    low, high = events.agg(F.min(micros), F.max(micros)).first()
+    files = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1)
+    if low is None:
+        events.write.parquet(f"{landing}/stretch=0")
+        return files.parquet(f"{landing}/stretch=*")
+    step = (high - low) // _STRETCHES + 1
+    stretch = F.floor((micros - F.lit(low)) / F.lit(step))
+    for number in range(_STRETCHES):
+        own = events.where(stretch == number)
+        parts = own.unionByName(own.where("event_id % 3 = 0"))
+        if number:
+            before = events.where((stretch == number - 1) & (micros > low + number * step - 6 * 3_600_000_000))
+            parts = parts.unionByName(before)
+        if number == _STRETCHES - 1:
+            parts = parts.unionByName(events.where((stretch == 0) & (F.col("event_id") % 7 == 0)).withColumn("event_id", -F.col("event_id") - 1))
+        parts.coalesce(1).write.parquet(f"{landing}/stretch={number}")
+    return files.parquet(f"{landing}/stretch=*")
+
+
+@query("days_closed_stream", _STRETCH_SQL + """
+SELECT CAST(ts AS DATE) AS day, count(*) AS visits FROM e GROUP BY 1, latest HAVING CAST(ts AS DATE) + INTERVAL 2 DAY <= latest""")
+def days_closed_stream(spark, sf_dir):
+    """Days that are over, each once, with visits that were sent twice and without those too late."""
+    return _drain(closed_days(_untidy_stream(spark, sf_dir), "1 day", ("event_id",)), spark, "closed-days")
+
+
+@query("late_visits_stream", _STRETCH_SQL + """
+SELECT CAST(ts AS DATE) AS day, count(*) AS late FROM e WHERE stretch = 0 AND event_id % 7 = 0 GROUP BY 1""")
+def late_visits_stream(spark, sf_dir):
+    """What the stream above leaves out, counted by day."""
+    stream = _untidy_stream(spark, sf_dir)
+    late = LateVisits(spark, scratch_path(spark, "late"), _DELAY)
+    running = (
+        stream.writeStream.foreachBatch(late.store).option("checkpointLocation", scratch_path(spark, "late-progress"))
+        .trigger(availableNow=True).start()
+    )
+    running.awaitTermination()
+    return late.read(stream.schema).groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("late"))
+
+
+@query("devices_from_history_stream", _COUNTED_SQL + " SELECT id, counted_at FROM r")
+def devices_from_history_stream(spark, sf_dir):
+    """The first half counted in batch, the second by a stream that starts from that count."""
+    events = table(spark, sf_dir, "events")
+    low, high = events.agg(F.min("ts"), F.max("ts")).first()
+    middle = F.lit(low + (high - low) / 2 if low is not None else None).cast("timestamp")
+    ts = F.col("ts").cast("timestamp")
+    past = durable(count_devices_batch(_visits(events.where(ts < middle)), _TTL), "counted-before")
+    landing = scratch_path(spark, "later-events")
+    quarter = F.lit(low + (high - low) * 3 / 4 if low is not None else None).cast("timestamp")
+    for number, part in enumerate((events.where((ts >= middle) & (ts < quarter)), events.where(ts >= quarter))):
+        part.write.parquet(f"{landing}/stretch={number}")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{landing}/stretch=*")
+    before = spark.conf.get(STATE_STORE_SETTING)
+    spark.conf.set(STATE_STORE_SETTING, ROCKSDB_PROVIDER)
+    try:
+        counted = _drain(count_expiring_devices(_visits(stream), "7 days", _TTL, past), spark, "later-devices")
+        return past.unionByName(counted)
+    finally:
+        spark.conf.set(STATE_STORE_SETTING, before)
+
+
 @query("refresh_on_arrival", """
 WITH c AS (SELECT count(*) AS n, least(count(*), (SELECT count(*) FROM supplier)) AS held FROM customer)
 SELECT '1 first files' AS step, 1 AS rebuilds, n - held AS hashed, n - held AS rows_rebuilt FROM c
