@@ -80,7 +80,7 @@ class ExpiringDevices(StatefulProcessor):
         # The first millisecond at which the id counts again.
         self.handle.registerTimer(-(-(micros + self.ttl) // 1000))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         last = self.last.get()[0] if self.last.exists() else None
         stamps = sorted({int(x) for frame in rows for x in frame["micros"] if last is None or x >= last + self.ttl})
         counted: list[int] = []
@@ -92,12 +92,12 @@ class ExpiringDevices(StatefulProcessor):
             self._remember(last)
             yield pd.DataFrame({"id": [key[0]] * len(counted), "counted_at": pd.to_datetime(counted, unit="us", utc=True)})
 
-    def handleExpiredTimer(self, key, timer_values, expired_timer_info) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.last.clear()
         return iter(())
 
-    def handleInitialState(self, key, initial_state: pd.DataFrame, timer_values) -> None:
-        self._remember(int(initial_state["micros"].max()))
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        self._remember(int(initialState["micros"].max()))
 
     def close(self) -> None:
         pass
