@@ -77,14 +77,15 @@ _OPEN, _CLOSED, _CURRENT = "open", "closed", "current"
 _STATE = "%Y%m%dT%H%M%S%f"
 
 
-def _published_states(spark: SparkSession, root: str) -> list[str]:
+def _last_state(spark: SparkSession, root: str, before: str | None = None) -> str | None:
+    """The latest published state, or the latest before another; none before the first."""
     try:
-        states = spark.read.schema("state string").parquet(f"{root}/{_CURRENT}").distinct().collect()
+        states = spark.read.schema("state string").parquet(f"{root}/{_CURRENT}")
     except AnalysisException as missing:  # nothing is published before the first state
         if "PATH_NOT_FOUND" not in str(missing):
             raise
-        return []
-    return sorted(row["state"] for row in states)
+        return None
+    return (states.filter(F.col("state") < before) if before else states).agg(F.max("state")).first()[0]
 
 
 def publish_history(history: DataFrame, root: str, as_of: datetime) -> str:
@@ -96,10 +97,10 @@ def publish_history(history: DataFrame, root: str, as_of: datetime) -> str:
     is ``as_of`` in UTC; without a zone it is taken in the driver's, as :func:`apply_snapshot` does.
     """
     root, state = root.rstrip("/"), f"{as_of.astimezone(timezone.utc):{_STATE}}"
-    before = [s for s in _published_states(history.sparkSession, root) if s < state]
+    before = _last_state(history.sparkSession, root, state)
     ended = history.filter(F.col("valid_to").isNotNull())
-    if before:
-        ended = ended.filter(F.col("valid_to") > F.lit(datetime.strptime(before[-1], _STATE).replace(tzinfo=timezone.utc)))
+    if before is not None:
+        ended = ended.filter(F.col("valid_to") > F.lit(datetime.strptime(before, _STATE).replace(tzinfo=timezone.utc)))
     ended.write.mode("overwrite").parquet(f"{root}/{_CLOSED}/as_of={state}")
     history.filter(F.col("valid_to").isNull()).write.mode("overwrite").parquet(f"{root}/{_OPEN}/as_of={state}")
     history.sparkSession.createDataFrame([(state,)], "state string").coalesce(1).write.mode("append").parquet(
@@ -109,9 +110,11 @@ def publish_history(history: DataFrame, root: str, as_of: datetime) -> str:
 
 
 def read_history(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """The history as last published; ``schema`` is that of :func:`empty_history`."""
+    """The history as last published, empty before the first state; ``schema`` is that of :func:`empty_history`."""
     root = root.rstrip("/")
-    state = _published_states(spark, root)[-1]
+    state = _last_state(spark, root)
+    if state is None:
+        return spark.createDataFrame([], schema)
     stored = T.StructType([*schema.fields, T.StructField("as_of", T.StringType())])
     closed = spark.read.schema(stored).parquet(f"{root}/{_CLOSED}").filter(F.col("as_of") <= state)
     current = spark.read.schema(schema).parquet(f"{root}/{_OPEN}/as_of={state}")

@@ -16,7 +16,7 @@ from tallyloom.queries import query, shared_table, table
 from tallyloom.session import durable, scratch_path
 from tallyloom.sinks.blocks import write_block
 from tallyloom.sinks.raw_tables import land_table, read_raw
-from tallyloom.sources.blocks import parse_lines, read_block
+from tallyloom.sources.blocks import BLOCK_FIELDS, parse_lines, read_block, wrong_lines
 from tallyloom.sources.delimited import (
     ORIGIN_COLUMN, read_delimited_text, read_zipped_csv, rows_of_archives, tagged, union_parts,
 )
@@ -205,6 +205,19 @@ def stored_block(spark, sf_dir):
     return parse_lines(read_block(spark, path), ["day", "status", "key", "beyond"])
 
 
+@query("block_lines_rejected", """
+SELECT c_custkey || ';' || c_name || CASE WHEN c_custkey % 3 = 0 THEN ';' ELSE '' END || CASE WHEN c_custkey % 7 = 0 THEN ';' || c_mktsegment || ';x' ELSE '' END AS linha,
+  CAST(2 + CAST(c_custkey % 3 = 0 AS INTEGER) + 2 * CAST(c_custkey % 7 = 0 AS INTEGER) AS INTEGER) AS fields, 4 AS expected
+FROM customer WHERE 2 + CAST(c_custkey % 3 = 0 AS INTEGER) + 2 * CAST(c_custkey % 7 = 0 AS INTEGER) <> 4""")
+def block_lines_rejected(spark, sf_dir):
+    """Lines with too few and too many fields, next to right ones, in a stored block."""
+    line = F.expr("""concat(c_custkey, ';', c_name, CASE WHEN c_custkey % 3 = 0 THEN ';' ELSE '' END,
+      CASE WHEN c_custkey % 7 = 0 THEN concat(';', c_mktsegment, ';x') ELSE '' END)""")
+    path = scratch_path(spark, "rejected-block")
+    write_block(number_rows(table(spark, sf_dir, "customer").select(line.alias("linha")), [F.asc("linha")]), path)
+    return wrong_lines(read_block(spark, path), BLOCK_FIELDS["painel_institutos_mes"])
+
+
 @query("seed_scan", """
 SELECT c_name AS nm_candidato, CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment || ', "' || c_nationkey || '"' END AS ds_observacao FROM customer""")
 def seed_scan(spark, sf_dir):

@@ -12,6 +12,8 @@ from tallyloom.plans.registered_polls import NOTICE_DAYS
 from tallyloom.session import scratch_path, spread
 from tallyloom.sinks.blocks import block_text
 from tallyloom.sinks.raw_tables import clean_column_names, land_table
+from tallyloom.operators.history import read_history
+from tallyloom.sources.blocks import parse_block, wrong_lines
 from tallyloom.sources.delimited import ORIGIN_COLUMN, read_delimited_text, read_zipped_csv
 from tallyloom.sources.html_tables import extract_html_tables, flat_headers, read_table_rows
 from tallyloom.sources.registry import select_sources
@@ -121,6 +123,23 @@ def test_block_limit(spark):
     assert block_text(lines, "block").first()["block"] == "a\nb"
 
 
+def test_lines_of_a_declared_block_are_counted(spark):
+    block = spark.createDataFrame([("a;b;c;",), ("a;b;c",), ("a;b;c;d;e",), ("",)], "linha string")
+    assert {(r.linha, r.fields) for r in wrong_lines(block, 4).collect()} == {("a;b;c", 3), ("a;b;c;d;e", 5), ("", 1)}
+    right = spark.createDataFrame([("a;b;c;",)], "linha string")
+    good = parse_block(right, "painel_institutos_mes", ["w", "x", "y", "z"])
+    assert tuple(good.first()) == ("a", "b", "c", "")
+    with pytest.raises(Exception, match="does not have 4 fields"):
+        parse_block(block, "painel_institutos_mes", ["w", "x", "y", "z"]).collect()
+    with pytest.raises(ValueError, match="has 4 fields"):
+        parse_block(block, "painel_institutos_mes", ["w"])
+
+
+def test_history_before_its_first_state_is_empty(spark, tmp_path):
+    schema = spark.createDataFrame([], "k int, v string").schema
+    assert read_history(spark, str(tmp_path / "none"), schema).count() == 0
+
+
 def test_malformed_lines_fail_and_line_breaks_stay(spark, tmp_path):
     (tmp_path / "ok.csv").write_text('a;b;c\n1;"x\ny";3\n', encoding="latin-1")
     assert [tuple(r)[:3] for r in read_delimited_text(spark, str(tmp_path / "ok.csv")).collect()] == [("1", "x\ny", "3")]
