@@ -21,19 +21,20 @@ RESULTS_ORIGIN = "tse_2022"
 def stage_results(raw: DataFrame) -> DataFrame:
     """Candidates are found by the column suffix, so new or renamed ones need no change here."""
     chosen = columns_with_suffix(raw, SHARE_SUFFIX, NOT_CANDIDATES)
+    # What all candidates of a row share is typed once, below the unpivot.
+    typed = raw.select(
+        multi_format_timestamp(F.col("DT_TOTALIZACAO")).alias("ts_totalizacao"),
+        digits_only(F.col("TURNO"), "int").alias("nr_turno"), "_ingerido_em", *[F.col(f"`{name}`") for name in chosen],
+    )
     long = unpivot_columns(
-        raw, ["DT_TOTALIZACAO", "TURNO", "_ingerido_em"], chosen,
+        typed, ["ts_totalizacao", "nr_turno", "_ingerido_em"], chosen,
         name="coluna_origem", value="pct_texto", upper_names=True,
     )
-    instant = multi_format_timestamp(F.col("DT_TOTALIZACAO"))
     fraction = locale_decimal(F.col("pct_texto"), "decimal(12,8)")
     return (
         long.withColumn("__fraction", fraction).filter(F.col("__fraction").isNotNull())
         .select(
-            instant.alias("ts_totalizacao"),
-            F.to_date(instant).alias("dt_totalizacao"),
-            digits_only(F.col("TURNO"), "int").alias("nr_turno"),
-            "coluna_origem",
+            "ts_totalizacao", F.to_date("ts_totalizacao").alias("dt_totalizacao"), "nr_turno", "coluna_origem",
             title_from_column_name(F.col("coluna_origem"), SHARE_SUFFIX).alias("nm_candidato_origem"),
             fraction_to_percent(F.col("__fraction")).alias("pc_votos_validos_acumulado"),
             "_ingerido_em",

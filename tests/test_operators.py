@@ -15,6 +15,7 @@ from tallyloom.operators.history import apply_snapshot, empty_history
 from tallyloom.operators.joins import attach_group_values, count_unlisted, without_mirrored
 from tallyloom.operators.keys import content_key, member_set_key
 from tallyloom.operators import automaton, linkage
+from tallyloom.plans.official_results import stage_results
 from tallyloom.operators.linkage import LinkRules, best_links, match_names
 from tallyloom.operators.numbering import number_rows
 from tallyloom.operators.reshape import columns_with_suffix, unpivot_columns
@@ -330,3 +331,14 @@ def test_published_history_in_any_zone_of_the_driver(spark, tmp_path, monkeypatc
     finally:
         monkeypatch.undo()
         time.tzset()
+
+
+def test_results_are_typed_below_the_unpivot(spark):
+    raw = spark.createDataFrame(
+        [("01/10/2022 10:00:00", "1", "0,5", "0,4", "x")],
+        "DT_TOTALIZACAO string, TURNO string, A_PE_VOTOS_TOT_ACUMULADO string, b_pe_votos_tot_acumulado string, _ingerido_em string",
+    )
+    plan = stage_results(raw)._jdf.queryExecution().optimizedPlan().toString()
+    above = plan[: plan.index("Expand")]
+    assert "DT_TOTALIZACAO" not in above and "TURNO" not in above.replace("nr_turno", "")
+    assert {r.coluna_origem for r in stage_results(raw).collect()} == {"A_PE_VOTOS_TOT_ACUMULADO", "B_PE_VOTOS_TOT_ACUMULADO"}
