@@ -134,7 +134,10 @@ WITH l AS (SELECT CAST(o_orderdate AS DATE) AS e, CASE WHEN o_orderkey % 4 > 0 T
 m AS (SELECT max(e) AS e FROM l)
 SELECT strftime(m.e, '%Y-%m-%d') AS campo_recente, strftime(max(coalesce(l.s, l.e)), '%Y-%m-%d') AS campo_inicio FROM l JOIN m ON m.e = l.e GROUP BY m.e""")
 def header_dates(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
+    return Q.header_dates_from_lines(_dated_blocks(table(spark, sf_dir, "orders")))
+
+
+def _dated_blocks(orders):
     end = F.when(F.col("o_orderstatus") != "P", F.to_date("o_orderdate").cast("string")).otherwise("n/a")
     start = F.when(
         F.col("o_orderkey") % 4 > 0, F.date_sub(F.to_date("o_orderdate"), (F.col("o_orderkey") % 6).cast("int"))
@@ -143,7 +146,22 @@ def header_dates(spark, sf_dir):
     second = orders.filter(F.col("o_orderpriority") >= "3").select(
         render_line(end, F.lit("x"), start).alias("linha")
     )
-    return Q.header_dates_from_lines([(first, 1), (second, 2)])
+    return [(first, 1), (second, 2)]
+
+
+@query("header_repaired", """
+WITH l AS (SELECT CAST(o_orderdate AS DATE) AS e, CASE WHEN o_orderkey % 4 > 0 THEN CAST(o_orderdate AS DATE) - CAST(o_orderkey % 6 AS INTEGER) END AS s FROM orders WHERE o_orderstatus <> 'P'),
+m AS (SELECT max(e) AS e FROM l), d AS (SELECT m.e, max(coalesce(l.s, l.e)) AS s FROM l JOIN m ON m.e = l.e GROUP BY m.e),
+h AS (SELECT count(*) AS n, CAST(max(o_orderdate) AS DATE) + 30 AS campo_recente FROM orders)
+SELECT n, d.e AS campo_recente, strftime(d.s, '%Y-%m-%d') AS campo_inicio, CASE WHEN h.campo_recente <> d.e THEN 'campo_recente,' ELSE '' END || 'campo_inicio' AS ajustes FROM h, d""")
+def header_repaired(spark, sf_dir):
+    """A header whose latest date is of no line, and whose start is missing."""
+    orders = table(spark, sf_dir, "orders")
+    header = orders.agg(
+        F.count(F.lit(1)).alias("n"), F.date_add(F.max(F.to_date("o_orderdate")), 30).alias("campo_recente"),
+        F.lit(None).cast("string").alias("campo_inicio"),
+    )
+    return Q.repair_header(header, Q.header_dates_from_lines(_dated_blocks(orders)))
 
 
 @query("numbering_checks", """

@@ -14,7 +14,7 @@ from tallyloom.operators.entity import canonical_spellings, lookup_by_name_key,
 from tallyloom.operators.history import apply_snapshot, empty_history
 from tallyloom.operators.joins import attach_group_values, count_unlisted, without_mirrored
 from tallyloom.operators.keys import content_key, member_set_key
-from tallyloom.operators import automaton, linkage
+from tallyloom.operators import automaton, linkage, quality
 from tallyloom.plans.official_results import stage_results
 from tallyloom.operators.linkage import LinkRules, best_links, match_names
 from tallyloom.operators.numbering import number_rows
@@ -342,3 +342,12 @@ def test_results_are_typed_below_the_unpivot(spark):
     above = plan[: plan.index("Expand")]
     assert "DT_TOTALIZACAO" not in above and "TURNO" not in above.replace("nr_turno", "")
     assert {r.coluna_origem for r in stage_results(raw).collect()} == {"A_PE_VOTOS_TOT_ACUMULADO", "B_PE_VOTOS_TOT_ACUMULADO"}
+
+
+def test_a_header_without_dated_lines_stays(spark):
+    header = spark.createDataFrame([(7, "2026-09-29 00:00:00", "2026-09-20")], "n int, campo_recente string, campo_inicio string")
+    block = lambda *lines: spark.createDataFrame([(x,) for x in lines], "linha string")
+    dates = quality.header_dates_from_lines([(block("x;1", ""), 1)])
+    assert tuple(quality.repair_header(header, dates).first()) == (7, "2026-09-29 00:00:00", "2026-09-20", "")
+    same = quality.header_dates_from_lines([(block("2026-09-29;2026-09-25", "2026-09-29;n/a", "2026-09-01;2026-08-30"), 1)])
+    assert tuple(quality.repair_header(header, same).first()) == (7, "2026-09-29 00:00:00", "2026-09-29", "campo_inicio")
