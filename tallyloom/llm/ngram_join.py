@@ -43,7 +43,8 @@ BROADCAST_ROWS = 200_000
 NO_ID = -(1 << 63)
 KEY_BITS = 20
 DRAWS = 4
-CELLS = 256
+CELLS = (64, 128, 256)
+CELL_LOAD = 8
 BLOCK_ROWS = 1 << 14
 _DEALT = "part int, batch long, kind int, payload binary"
 
@@ -168,6 +169,49 @@ def _framed(rows: Iterator[tuple], columns: list[str], size: int) -> Iterator[pd
 _INDEX = "key long, doc_id long, hash long, n long, same long, own long, prefix array<long>, sketch binary"
 
 
+def _sketch(mixed: np.ndarray) -> bytes:
+    """Numbers of shingles by cell of their hash, a byte a cell: the multiple of a step, rounded up."""
+    cells = next((c for c in CELLS if len(mixed) <= CELL_LOAD * c), CELLS[-1])
+    counts = np.bincount(mixed % cells, minlength=cells)
+    step = -(-int(counts.max()) // 255)
+    return np.uint32(step).astype("<u4").tobytes() + (-(-counts // step)).astype("u1").tobytes()
+
+
+class _Sketches:
+    """Sketches of several widths; all compare at the smallest width, long ones at their own as well."""
+
+    def __init__(self, packed: np.ndarray):
+        widths = np.fromiter(map(len, packed), np.int64, len(packed)) - 4
+        self.cells: dict[int, np.ndarray] = {}
+        self.row: dict[int, np.ndarray] = {}
+        for width in CELLS:
+            # A cell of a narrow sketch sums the cells of a wide one that leave the same rest.
+            rows = np.flatnonzero(widths >= width)
+            cells = np.zeros((len(rows), width), np.int32)
+            for own in CELLS[CELLS.index(width) :]:
+                at = widths[rows] == own
+                if at.any():
+                    raw = np.frombuffer(b"".join(packed[rows[at]]), "u1").reshape(-1, own + 4)
+                    step = np.ascontiguousarray(raw[:, :4]).view("<u4").astype(np.int32)
+                    folded = raw[:, 4:].reshape(len(raw), own // width, width).sum(axis=1, dtype=np.int32)
+                    cells[at] = folded * step
+            self.cells[width] = cells
+            self.row[width] = np.full(len(packed), -1)
+            self.row[width][rows] = np.arange(len(rows))
+
+    def common(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """An upper bound of the shingles that ``i`` and ``j`` share, pair by pair."""
+        most = np.full(len(i), np.iinfo(np.int64).max)
+        for width in CELLS:
+            a, b = self.row[width][i], self.row[width][j]
+            both = np.flatnonzero((a >= 0) & (b >= 0))
+            for low in range(0, len(both), 1 << 15):
+                part = both[low : low + (1 << 15)]
+                met = np.minimum(self.cells[width][a[part]], self.cells[width][b[part]]).sum(axis=1)
+                most[part] = np.minimum(most[part], met)
+        return most
+
+
 def _prefixes(batch_rows: pd.DataFrame) -> pd.DataFrame:
     """One row per document of a batch; the prefix lists what two texts or more hold, rarest first."""
     batch = int(batch_rows["batch"].iloc[0])
@@ -190,11 +234,8 @@ def _prefixes(batch_rows: pd.DataFrame) -> pd.DataFrame:
     length = np.where(same == np.arange(len(ids)), np.maximum(0, sizes - (3 * sizes + 3) // 4 + 1 - own), 0)
     prefix = [token[a : a + k] for a, k in zip(bounds[:-1], np.minimum(length, shared))]
     key = (np.int64(batch) << KEY_BITS) | np.arange(len(ids))
-    cell = (token ^ (token >> 32)) % CELLS
-    sketch = [
-        np.bincount(cell[a:b], minlength=CELLS).astype("<u4").tobytes() if len(p) else None
-        for a, b, p in zip(bounds[:-1], bounds[1:], prefix)
-    ]
+    mixed = token ^ (token >> 32)
+    sketch = [_sketch(mixed[a:b]) if len(p) else None for a, b, p in zip(bounds[:-1], bounds[1:], prefix)]
     return pd.DataFrame({
         "key": key, "doc_id": ids, "hash": hashes, "n": sizes, "same": (np.int64(batch) << KEY_BITS) | same,
         "own": own, "prefix": prefix, "sketch": sketch,
@@ -260,20 +301,17 @@ def _sides(frames: Iterator[pd.DataFrame], columns: list[str], most: int) -> Ite
         yield handed()
 
 
-def _may_link(n: np.ndarray, place: np.ndarray, cells: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+def _may_link(n: np.ndarray, place: np.ndarray, sketches: _Sketches, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     """Whether sizes, places of a common shingle and sketches allow the pairs ``i, j`` to link.
 
-    A sketch counts a member's shared shingles by cell of their hash; two members have at most the
-    sum of the smaller counts in common.
+    A sketch counts a member's shared shingles by cell of their hash, or says a little more; two
+    members have at most the sum of the smaller counts in common.
     """
     need = 3 * (n[i] + n[j])
     both = np.minimum(place[i], place[j]) + np.minimum(n[i] - place[i], n[j] - place[j])
     fits = (4 * np.minimum(n[i], n[j]) >= 3 * np.maximum(n[i], n[j])) & (7 * both >= need)
     at = np.flatnonzero(fits)
-    for low in range(0, len(at), 1 << 16):
-        part = at[low : low + (1 << 16)]
-        common = np.minimum(cells[i[part]], cells[j[part]]).sum(axis=1)
-        fits[part] = 7 * common >= need[part]
+    fits[at] = 7 * sketches.common(i[at], j[at]) >= need[at]
     return fits
 
 
@@ -281,10 +319,6 @@ def _pair_frame(x: np.ndarray, y: np.ndarray) -> pd.DataFrame:
     return pd.DataFrame({"a": np.minimum(x, y), "b": np.maximum(x, y)}).drop_duplicates()
 
 
-def _cells(sketches: np.ndarray) -> np.ndarray:
-    return np.frombuffer(b"".join(sketches), "<u4").reshape(-1, CELLS)
-
-
 def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Each group of a bucket, or of a piece of a large one, with the first of its size range and a few others.
 
@@ -294,7 +328,7 @@ def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         token, group, n, place = (frame[c].to_numpy() for c in ("token", "gid", "n", "place"))
         if not len(token):
             continue
-        cells = _cells(frame["sketch"].to_numpy())
+        sketches = _Sketches(frame["sketch"].to_numpy())
         count = np.arange(len(token))
         fresh = np.append(True, token[1:] != token[:-1])
         start = np.maximum.accumulate(np.where(fresh, count, 0))
@@ -313,7 +347,7 @@ def _stars(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         i, j = np.concatenate(i), np.concatenate(j)
         other = group[i] != group[j]
         i, j = i[other], j[other]
-        may = _may_link(n, place, cells, i, j)
+        may = _may_link(n, place, sketches, i, j)
         yield _pair_frame(group[i[may]], group[j[may]])
 
 
@@ -339,24 +373,24 @@ def _across(best: bool):
             if fresh:
                 settled()
                 outside = None
-            cells = _cells(sketch)
             if not main:
-                outside = [key, n, place, cells]
+                outside, sketches = [key, n, place, sketch], _Sketches(sketch)
                 for i in range(len(key)):
                     j = np.flatnonzero((label != label[i]) & (key > key[i] if not best else True))
-                    j = j[_may_link(n, place, cells, np.full(len(j), i), j)]
+                    j = j[_may_link(n, place, sketches, np.full(len(j), i), j)]
                     if best and len(j):
-                        j = j[[np.minimum(cells[i], cells[j]).sum(axis=1).argmax()]]
+                        j = j[[sketches.common(np.full(len(j), i), j).argmax()]]
                     if len(j):
                         found.append((np.full(len(j), key[i]), key[j]))
             elif outside is not None:
                 held = len(outside[0])
-                key, n, place, cells = (np.concatenate(c) for c in zip(outside, (key, n, place, cells)))
+                key, n, place, sketch = (np.concatenate(c) for c in zip(outside, (key, n, place, sketch)))
+                sketches = _Sketches(sketch)
                 for i in range(held):
                     j = np.arange(held, len(key))
-                    j = j[_may_link(n, place, cells, np.full(len(j), i), j)]
+                    j = j[_may_link(n, place, sketches, np.full(len(j), i), j)]
                     if best and len(j):
-                        common = np.minimum(cells[i], cells[j]).sum(axis=1)
+                        common = sketches.common(np.full(len(j), i), j)
                         top = int(common.argmax())
                         nearest[key[i]] = max(nearest.get(key[i], (0, 0)), (int(common[top]), int(key[j[top]])))
                     elif len(j):
@@ -403,7 +437,8 @@ def _linked(docs: DataFrame, index: DataFrame, pairs: DataFrame, id_col: str) ->
     texts = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("doc_id"), F.xxhash64("text").alias("hash"), "text"
     )
-    sets = durable(_sets_of(texts.join(small, ["doc_id", "hash"]).select("key", "text")), "pair-sets")
+    # One exchange by key serves both sides: it drops repeats, and the join reads it as it is.
+    sets = _sets_of(texts.join(small, ["doc_id", "hash"]).select("key", "text"))
     left = sets.select(F.col("key").alias("a"), F.col("n").alias("n_a"), F.col("shingles").alias("s_a"))
     right = sets.select(F.col("key").alias("b"), F.col("n").alias("n_b"), F.col("shingles").alias("s_b"))
     met = pairs.join(right, "b").join(left, "a")

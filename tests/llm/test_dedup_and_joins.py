@@ -6,6 +6,7 @@ import itertools
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tallyloom.llm import components, exact_dedup, ngram_join, passage_dedup
@@ -264,3 +265,25 @@ def test_rows_repeated_over_batches_are_compared_once(make_docs, monkeypatch):
         for df in stored[label]:
             assert df.count() == df.select(name).distinct().count() <= 2
     assert max(df.count() for df in stored["pairs"]) == 1
+
+
+def test_sketches_never_rule_out_what_two_sets_share():
+    draw = np.random.default_rng(3)
+    sizes = (1, 60, 500, 700, 1500, 3000, 90_000)
+    sets, packed = [], []
+    for size in sizes:
+        shared = draw.integers(0, 1 << 40, size // 2)
+        for _ in range(2):
+            sets.append(np.unique(np.append(shared, draw.integers(0, 1 << 40, size - size // 2))))
+            packed.append(ngram_join._sketch(sets[-1]))
+    # A hot cell needs steps above one.
+    sets.append(np.arange(1000) * ngram_join.CELLS[-1])
+    packed.append(ngram_join._sketch(sets[-1]))
+    sketches = ngram_join._Sketches(np.array(packed, object))
+    i, j = (x.ravel() for x in np.meshgrid(np.arange(len(sets)), np.arange(len(sets))))
+    met = np.array([len(np.intersect1d(sets[a], sets[b])) for a, b in zip(i, j)])
+    bound = sketches.common(i, j)
+    assert (bound >= met).all()
+    # Sets of one size that have half in common are told apart from near copies.
+    near = [k for k in range(len(i)) if i[k] % 2 == 0 and j[k] == i[k] + 1 and 60 <= len(sets[i[k]]) <= 1500]
+    assert near and all(7 * bound[k] < 3 * (len(sets[i[k]]) + len(sets[j[k]])) for k in near)
