@@ -37,7 +37,7 @@ from tallyloom.llm.shingles import SpanHasher, run_hashes, space_words
 from tallyloom.llm.text import row_name, unused
 from tallyloom.session import durable
 
-BATCH_SHINGLES = 1 << 20
+BATCH_SHINGLES = 1 << 19
 BATCH_DOCS = 1 << 15
 BROADCAST_ROWS = 200_000
 NO_ID = -(1 << 63)
