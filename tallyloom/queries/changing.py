@@ -8,6 +8,7 @@ from tallyloom.operators.changes import (
     reconcile, refresh_if_changed, states_differ, table_fingerprint, values_not_on_file,
 )
 from tallyloom.operators.history import apply_snapshot, empty_history, publish_history, read_history
+from tallyloom.operators.row_changes import changed_rows, publish_state
 from tallyloom.queries import query, table
 from tallyloom.session import durable, scratch_path
 
@@ -137,3 +138,27 @@ def customer_history(spark, sf_dir):
         publish_history(apply_snapshot(history, state, "c_custkey", ["segment"], as_of), root, as_of)
         history = read_history(spark, root, history.schema)
     return history
+
+
+@query("order_rows_changed", """
+WITH b AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_orderdate AS DATE) AS day FROM orders),
+  l AS (SELECT max(day) AS last FROM b)
+SELECT 'delete' AS change, 'before' AS side, CAST(1 AS BIGINT) AS copies, b.* FROM b WHERE o_orderstatus = 'P'
+UNION ALL SELECT 'edit', 'before', 1, b.* FROM b, l WHERE o_orderstatus <> 'P' AND day = last
+UNION ALL SELECT 'edit', 'after', 1, o_orderkey, o_custkey, 'X', day FROM b, l WHERE o_orderstatus <> 'P' AND day = last
+UNION ALL SELECT 'insert', 'after', 2, -1 - o_orderkey, o_custkey, o_orderstatus, day FROM b, l
+  WHERE o_orderstatus = 'O' AND day = last""")
+def order_rows_changed(spark, sf_dir):
+    before = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("day")
+    )
+    last = before.agg(F.max("day").alias("last")).first()["last"]
+    on_last = F.col("day") == F.lit(last)
+    added = before.filter(on_last & (F.col("o_orderstatus") == "O")).withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    edited = before.filter("o_orderstatus <> 'P'").withColumn(
+        "o_orderstatus", F.when(on_last, "X").otherwise(F.col("o_orderstatus"))
+    )
+    paths = [scratch_path(spark, name) for name in ("orders-before", "orders-after")]
+    for state, path in zip((before, edited.union(added).union(added)), paths):
+        publish_state(state, path, ["o_orderkey"])
+    return changed_rows(spark, *paths).select("change", "side", "copies", "row.*")
