@@ -351,3 +351,28 @@ def test_a_header_without_dated_lines_stays(spark):
     assert tuple(quality.repair_header(header, dates).first()) == (7, "2026-09-29 00:00:00", "2026-09-20", "")
     same = quality.header_dates_from_lines([(block("2026-09-29;2026-09-25", "2026-09-29;n/a", "2026-09-01;2026-08-30"), 1)])
     assert tuple(quality.repair_header(header, same).first()) == (7, "2026-09-29 00:00:00", "2026-09-29", "campo_inicio")
+
+
+def test_key_checks_of_a_table_share_one_scan_and_one_exchange(spark):
+    draw = random.Random(5)
+    rows = [
+        (draw.choice([None, *range(30)]), draw.choice([None, "a", "b:", "1:b"]), draw.choice([None, 0.0, -0.0, float("nan"), 1.5]), i % 3)
+        for i in range(200)
+    ]
+    df = spark.createDataFrame(rows, "id long, name string, part double, nr int")
+    known = spark.createDataFrame([(i,) for i in [*range(0, 30, 2), 2]] + [(None,)], "known long")
+    narrow = known.select(F.col("known").cast("int").alias("known"))
+    checks = [
+        Q.unique("id"), Q.unique("part"), Q.unique("id", where=F.col("nr") == 1), Q.unique_combination(["id", "name"]),
+        Q.unique_combination(["part", "name"]), Q.relationships("id", known, "known"),
+        Q.relationships("id", known, "known", where=F.col("name") == "a"), Q.relationships("id", narrow, "known"),
+    ]
+    result = Q.run_checks(df, checks)
+    got = sorted((r["check"], r["failures"]) for r in result.collect())
+    assert got == sorted((c.name, c.failing_rows(df).count()) for c in checks)
+    # One scan of the table, whatever the number of key checks; the known ones are scanned once each.
+    plan = Q.run_checks(df, checks[:5])._jdf.queryExecution().executedPlan().toString()
+    first = plan.split("== Initial Plan ==")[-1]
+    assert first.count("hashpartitioning(nr") == 1 and first.count("Exchange") == 2
+    empty = Q.run_checks(df.limit(0), checks).collect()
+    assert len(empty) == len(checks) and not any(r["failures"] for r in empty)
