@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
+
+from tallyloom.operators.numbering import number_rows
+
+# Rows of one window task when a series is cut into ranges.
+RANGE_ROWS = 500_000
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
@@ -17,14 +22,51 @@ def first_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[C
     return df.withColumn("__rank", rank).filter(F.col("__rank") == 1).drop("__rank")
 
 
-def day_gaps(df: DataFrame, groups: Sequence[str], day: str) -> DataFrame:
+def windows_in_ranges(
+    df: DataFrame, series: Sequence[str], order: Sequence[Column], before: int, after: int,
+    columns: Callable[[WindowSpec], dict[str, Column]], range_rows: int = RANGE_ROWS,
+) -> DataFrame:
+    """Window columns over series of any length, none of which is gathered in one task.
+
+    Rows are numbered over (series, order) and cut into ranges of ``range_rows``; a range also
+    receives the ``before`` rows in front of it and the ``after`` rows behind it, computes, and
+    keeps its own rows.  ``columns`` gets the ordered window and must not look further than
+    ``before`` and ``after``.  End ``order`` with a tie-breaker, or ties come in any order.
+    NULL series values form one series.
+    """
+    if before < 0 or after < 0:
+        raise ValueError("the rows before and after must not be negative")
+    width = max(range_rows, before, after, 1)
+    numbered = number_rows(df, [*[F.asc(c) for c in series], *order], "__n")
+    zero_based = F.col("__n") - 1
+    home, place = F.floor(zero_based / width), zero_based % width
+    reached = F.array_compact(F.array(
+        home, F.when(place >= width - before, home + 1), F.when(place < after, home - 1)
+    ))
+    copies = numbered.withColumn("__home", home).withColumn("__range", F.explode(reached))
+    window = Window.partitionBy("__range", *series).orderBy("__n")
+    return (
+        copies.withColumns(columns(window)).filter(F.col("__range") == F.col("__home"))
+        .drop("__n", "__home", "__range")
+    )
+
+
+def day_gaps(
+    df: DataFrame, groups: Sequence[str], day: str, range_rows: int | None = None
+) -> DataFrame:
     """Days between neighbouring distinct days of each group (NULL for the first).
 
-    A group holds at most one row per calendar day when the window runs.
+    A group holds at most one row per calendar day when the window runs.  ``range_rows`` cuts
+    the days into ranges of that many rows instead, for groups finer than a task can hold.
     """
     days = df.select(*groups, day).distinct()
-    previous = F.lag(day).over(Window.partitionBy(*groups).orderBy(day))
-    return days.withColumn("gap", F.datediff(F.col(day), previous))
+
+    def gap(window: WindowSpec) -> dict[str, Column]:
+        return {"gap": F.datediff(F.col(day), F.lag(day).over(window))}
+
+    if range_rows is not None:
+        return windows_in_ranges(days, groups, [F.asc(day)], 1, 0, gap, range_rows)
+    return days.withColumns(gap(Window.partitionBy(*groups).orderBy(day)))
 
 
 def typical_gap(gap: Column, default: int) -> Column:
@@ -34,14 +76,29 @@ def typical_gap(gap: Column, default: int) -> Column:
 
 
 def moving_average(
-    df: DataFrame, series: Sequence[str], order: str, value: str, name: str,
-    half_width: int = 2, min_points: int = 15,
+    df: DataFrame, series: Sequence[str], order: str | Sequence[str], value: str, name: str,
+    half_width: int = 2, min_points: int = 15, range_rows: int | None = None,
 ) -> DataFrame:
     """Centred moving average, only for series with at least ``min_points`` points.
 
-    Meant for day series: one row per series and day, so a series stays small.
+    As it stands it is meant for day series: one row per series and day, so a series stays
+    small.  ``range_rows`` cuts series of any length into ranges of that many rows.  Each range
+    then sees ``min_points - 1`` rows more on either side, enough to tell whether a series has
+    enough points: what it sees of a series is the whole of it, or at least that many.
     """
-    by_series = Window.partitionBy(*series)
-    around = by_series.orderBy(order).rowsBetween(-half_width, half_width)
-    long_enough = F.count(F.lit(1)).over(by_series) >= min_points
-    return df.withColumn(name, F.when(long_enough, F.avg(value).over(around)))
+    order = [order] if isinstance(order, str) else list(order)
+
+    def mean(window: WindowSpec, seen: WindowSpec) -> dict[str, Column]:
+        around = window.rowsBetween(-half_width, half_width)
+        return {name: F.when(F.count(F.lit(1)).over(seen) >= min_points, F.avg(value).over(around))}
+
+    if range_rows is None:
+        by_series = Window.partitionBy(*series)
+        return df.withColumns(mean(by_series.orderBy(*order), by_series))
+    sight = max(min_points - 1, 0)
+    return windows_in_ranges(
+        df, series, [F.asc(c) for c in order], max(half_width, sight), max(half_width, sight),
+        lambda window: mean(
+            window, window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ), range_rows,
+    )

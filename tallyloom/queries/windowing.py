@@ -6,7 +6,9 @@ from tallyloom.functions.lines import render_line
 from tallyloom.operators.joins import attach_group_values
 from tallyloom.operators.numbering import number_rows
 from tallyloom.operators.stats import smoothed
-from tallyloom.operators.windows import day_gaps, first_per_key, typical_gap
+from tallyloom.operators.windows import (
+    day_gaps, first_per_key, moving_average, typical_gap, windows_in_ranges,
+)
 from tallyloom.queries import query, table
 
 
@@ -93,3 +95,53 @@ def smoothed_series(spark, sf_dir):
     return smoothed(series, "day", "event_type", "total", "smooth").select(
         "event_type", "day", F.col("smooth").cast("decimal(18,4)").alias("smooth")
     )
+
+
+@query("quantity_trend", """
+WITH w AS (SELECT l_returnflag, l_orderkey, l_linenumber,
+  sum(CAST(l_quantity * 100 AS HUGEINT)) OVER v AS t, count(*) OVER v AS n,
+  count(*) OVER (PARTITION BY l_returnflag) AS points FROM lineitem
+  WINDOW v AS (PARTITION BY l_returnflag ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity
+    ROWS BETWEEN 50 PRECEDING AND 50 FOLLOWING))
+SELECT l_returnflag, l_orderkey, l_linenumber, CAST(CASE WHEN points >= 1000 THEN
+  CAST((20000 * t + n) // (2 * n) AS DECIMAL(38,6)) / 1000000 END AS DECIMAL(18,6)) AS trend FROM w""")
+def quantity_trend(spark, sf_dir):
+    """Three series that hold all lines between them, each shared by many tasks."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quantity"]
+    lines = table(spark, sf_dir, "lineitem").withColumn(
+        "quantity", F.col("l_quantity").cast("decimal(18,2)")
+    ).select("l_returnflag", *order)
+    smooth = moving_average(
+        lines, ["l_returnflag"], order, "quantity", "trend", half_width=50, min_points=1000, range_rows=5000
+    )
+    return smooth.select(
+        "l_returnflag", "l_orderkey", "l_linenumber", F.col("trend").cast("decimal(18,6)").alias("trend")
+    )
+
+
+@query("time_since_event", """
+SELECT event_id, CAST(date_diff('second', lag(ts) OVER v, ts) AS BIGINT) AS since_previous,
+  CAST(date_diff('second', ts, lead(ts, 3) OVER v) AS BIGINT) AS until_third
+FROM (SELECT event_id, event_type, date_trunc('second', ts) AS ts FROM events)
+WINDOW v AS (PARTITION BY event_type ORDER BY ts, event_id)""")
+def time_since_event(spark, sf_dir):
+    """Seconds since the event before and until the third one after, within each type."""
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", F.date_trunc("second", "ts").alias("ts"))
+
+    def times(window):
+        now = F.unix_seconds(F.col("ts").cast("timestamp"))
+        return {
+            "since_previous": now - F.lag(now).over(window),
+            "until_third": F.lead(now, 3).over(window) - now,
+        }
+
+    timed = windows_in_ranges(events, ["event_type"], [F.asc("ts"), F.asc("event_id")], 1, 3, times, 1000)
+    return timed.select("event_id", "since_previous", "until_third")
+
+
+@query("user_day_gaps", """
+SELECT user_id, day, CAST(day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS gap
+FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)""")
+def user_day_gaps(spark, sf_dir):
+    days = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
+    return day_gaps(days, ["user_id"], "day", range_rows=2000)
