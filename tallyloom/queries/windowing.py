@@ -1,15 +1,19 @@
 """First rows per key, gaps, running numbers and smoothing."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from tallyloom.functions.lines import render_line
 from tallyloom.operators.joins import attach_group_values
 from tallyloom.operators.numbering import number_rows
+from tallyloom.operators.quantiles import day_sketches, merged_windows, rank_error, sketch_quantile, typical_gap_of
 from tallyloom.operators.stats import smoothed
 from tallyloom.operators.windows import (
     day_gaps, first_per_key, moving_average, typical_gap, windows_in_ranges,
 )
 from tallyloom.queries import query, table
+from tallyloom.session import durable
 
 
 @query("latest_order_per_customer", """
@@ -145,3 +149,54 @@ FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events)""")
 def user_day_gaps(spark, sf_dir):
     days = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
     return day_gaps(days, ["user_id"], "day", range_rows=2000)
+
+
+# Last days of the windows, from before the first to after the last order and event.
+_QUARTER_ENDS = [date(y, m, d) for y in range(1992, 2002) for m, d in ((3, 31), (6, 30), (9, 30), (12, 31))]
+_WEEK_ENDS = [date(2024, 1, d) for d in (7, 14, 21, 28)]
+# Sketches of this size err by less than half of that, at 99 percent.
+_SKETCH_SIZE, _RANK_ERROR = 800, 0.01
+
+
+@query("rolling_price_medians", """
+WITH e AS (SELECT CAST(u AS DATE) AS window_end FROM generate_series(DATE '1992-04-01', DATE '2002-01-01', INTERVAL 3 MONTH) g(x), LATERAL (SELECT x - INTERVAL 1 DAY AS u))
+SELECT window_end, o_orderpriority, count(*) AS orders, true AS close_to_median
+FROM orders JOIN e ON CAST(o_orderdate AS DATE) <= window_end AND CAST(o_orderdate AS DATE) > window_end - 120
+WHERE o_totalprice IS NOT NULL GROUP BY 1, 2""")
+def rolling_price_medians(spark, sf_dir):
+    """Medians over 120 days from stored days, and whether their rank is within one percent.
+
+    Orders meet the window ends a second time to measure the error only.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderpriority", F.to_date("o_orderdate").alias("day"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents")
+    )
+    stored = durable(day_sketches(orders, ["o_orderpriority"], "day", "cents", _SKETCH_SIZE))
+    windows = durable(merged_windows(stored, ["o_orderpriority"], "day", _QUARTER_ENDS, 120).select(
+        "o_orderpriority", "window_end", "values", sketch_quantile(F.col("sketch"), 0.5).alias("median")
+    ))
+    near = (F.col("day") <= F.col("window_end")) & (F.col("day") > F.date_sub("window_end", 120))
+    ends = windows.withColumnRenamed("o_orderpriority", "p")
+    seen = orders.join(ends, (F.col("o_orderpriority") == F.col("p")) & near)
+    errors = rank_error(seen, ["o_orderpriority", "window_end"], "cents", "median", 0.5).drop("values")
+    return windows.join(errors, ["o_orderpriority", "window_end"]).select(
+        "window_end", "o_orderpriority", F.col("values").alias("orders"),
+        (F.col("rank_error") <= _RANK_ERROR).alias("close_to_median"),
+    )
+
+
+@query("weekly_cadence", """
+WITH d AS (SELECT DISTINCT user_id, CAST(ts AS DATE) AS day FROM events),
+g AS (SELECT user_id, day, day - lag(day) OVER (PARTITION BY user_id ORDER BY day) AS gap FROM d),
+e AS (SELECT DISTINCT CAST(w AS DATE) AS window_end FROM generate_series(DATE '2024-01-07', DATE '2024-01-28', INTERVAL 7 DAY) s(w)),
+k AS (SELECT user_id, window_end, gap FROM g JOIN e ON day <= window_end AND day > window_end - 14 WHERE gap > 0)
+SELECT user_id, window_end, count(*) AS gaps, CAST(greatest(1, quantile_disc(gap, 0.5)) AS INTEGER) AS cadence FROM k GROUP BY 1, 2""")
+def weekly_cadence(spark, sf_dir):
+    """Usual days between active days over two weeks; so few gaps that sketches hold them all."""
+    days = table(spark, sf_dir, "events").select("user_id", F.to_date("ts").alias("day"))
+    gaps = day_gaps(days, ["user_id"], "day").filter(F.col("gap") > 0)
+    stored = durable(day_sketches(gaps, ["user_id"], "day", "gap"))
+    windows = merged_windows(stored, ["user_id"], "day", _WEEK_ENDS, 14)
+    return windows.select(
+        "user_id", "window_end", F.col("values").alias("gaps"), typical_gap_of(F.col("sketch"), 7).alias("cadence")
+    )
