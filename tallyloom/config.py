@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from tallyloom.sinks.marts import store_mart
+
 VIEW, TABLE = "view", "table"
 
 
@@ -38,14 +40,19 @@ def is_production(target: str, environment_type: str = "") -> bool:
     return target == "prod" or environment_type.lower() == "prod"
 
 
-def materialise(df: DataFrame, layer: str, name: str, user_schema: str, production: bool) -> str:
-    """Register a view or write a table, as the layer says; returns the full name."""
+def materialise(
+    df: DataFrame, layer: str, name: str, user_schema: str, production: bool, **storage
+) -> str:
+    """Register a view or store a mart, as the layer says; returns the full name.
+
+    ``storage`` is passed to ``store_mart``, and only layers stored as tables accept it.
+    """
     chosen = LAYERS[layer]
     database = database_name(chosen.name, user_schema, production)
-    if chosen.stored_as == VIEW:
-        view = f"{database}__{name}"
-        df.createOrReplaceTempView(view)
-        return view
-    df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    df.write.mode("overwrite").format("parquet").saveAsTable(f"`{database}`.`{name}`")
-    return f"{database}.{name}"
+    if chosen.stored_as == TABLE:
+        return store_mart(df, database, name, **storage)
+    if storage:
+        raise ValueError(f"layer {layer} is stored as views, which take no {', '.join(sorted(storage))}")
+    view = f"{database}__{name}"
+    df.createOrReplaceTempView(view)
+    return view

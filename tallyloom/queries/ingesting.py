@@ -15,6 +15,7 @@ from tallyloom.operators.numbering import number_rows
 from tallyloom.queries import query, shared_table, table
 from tallyloom.session import durable, scratch_path
 from tallyloom.sinks.blocks import write_block
+from tallyloom.sinks.marts import replace_days
 from tallyloom.sinks.raw_tables import land_table, read_raw
 from tallyloom.sources.blocks import BLOCK_FIELDS, parse_lines, read_block, wrong_lines
 from tallyloom.sources.delimited import (
@@ -239,3 +240,31 @@ def layer_views(spark, sf_dir):
     prod = materialise(table(spark, sf_dir, "region"), "intermediate", "region", "dev", is_production("prod"))
     joined = spark.table(dev).join(spark.table(prod), F.col("n_regionkey") == F.col("r_regionkey"))
     return joined.select(F.lit(dev).alias("dev"), F.lit(prod).alias("prod"), "n_name", "r_name")
+
+
+_REPRICED = 1995
+
+
+@query("stored_marts", f"""
+SELECT o_orderkey, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS o_year,
+  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * CASE WHEN year(o_orderdate) = {_REPRICED} THEN 2 ELSE 1 END AS DECIMAL(18,2)) AS price,
+  count(*) AS lines, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS total
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
+def stored_marts(spark, sf_dir):
+    """Two marts bucketed by the order; one year of the first is replaced; joined without a shuffle."""
+    price = F.col("o_totalprice").cast("decimal(18,2)")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", price.alias("price"), F.year("o_orderdate").alias("o_year")
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_extendedprice").cast("decimal(18,2)").alias("extended")
+    )
+    wide = materialise(orders, "marts", "orders", "queries", False, keys=["o_orderkey"], buckets=8, day="o_year")
+    long = materialise(lines, "marts", "order_lines", "queries", False, keys=["l_orderkey"], buckets=8)
+    repriced = orders.filter(F.col("o_year") == _REPRICED).withColumn("price", (F.col("price") * 2).cast("decimal(18,2)"))
+    replace_days(spark, repriced, *wide.split("."))
+    per_order = spark.table(long).groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("lines"), F.sum("extended").alias("total")
+    )
+    joined = spark.table(wide).join(per_order, F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.select("o_orderkey", "o_custkey", "o_year", "price", "lines", "total")

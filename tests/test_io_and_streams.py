@@ -116,6 +116,11 @@ def test_layers(spark):
     assert LAYERS["staging"].stored_as == "view" and NOTICE_DAYS == 5
     name = materialise(spark.range(3), "staging", "t", "me", False)
     assert spark.table(name).count() == 3
+    with pytest.raises(ValueError, match="buckets"):
+        materialise(spark.range(3), "staging", "t", "me", False, buckets=4)
+    for rows in (3, 5):
+        mart = materialise(spark.range(rows), "marts", "t", "me", False, keys=["id"], buckets=2)
+        assert mart == "me_marts.t" and spark.table(mart).count() == rows
 
 
 def test_block_limit(spark):
