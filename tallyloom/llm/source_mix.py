@@ -7,6 +7,8 @@ whole as often as it fits, and only the rest is chosen by key, up to the word.
 Running sums over a source that holds a third of all rows would gather in one task.  A source with
 n rows is therefore cut into about sqrt(n) bins of neighbouring keys: sums of bins run per source,
 and rows run only within their bin, so no group has many more than sqrt(n) members.
+Rows alike share one key and would share one bin whatever their number: they are one row with a
+count until the words of a source are given out.
 """
 
 from __future__ import annotations
@@ -21,6 +23,8 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 UNIT_BITS = 48
 BROADCAST_ROWS = 100_000
+# Copies of one row that a task writes out; larger groups are dealt out to tasks in such parts.
+COPIES_PER_TASK = 10_000
 
 
 def quality_weights(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -68,35 +72,31 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, cap: in
     return rated.withColumn("target", target).drop("__share", "__rate", "__fill")
 
 
-def plan_mix(
+def _alike(
     docs: DataFrame,
     labels: DataFrame,
-    weights: tuple[int, ...] = WEIGHTS,
-    cap: int = MAX_EPOCHS,
-    seed: int = 1,
-    id_col: str = "doc_id",
+    weights: tuple[int, ...],
+    cap: int,
+    seed: int,
+    id_col: str,
 ) -> DataFrame:
-    """``doc_id, size, source, source_size, target, taken`` and the row's text hash.
-
-    Whole epochs come first; the rest of the target goes to documents in key order, and the last one
-    gives only the words that are still needed, so a source's sum is its target rounded down.  Equal
-    keys are settled by id, size and text hash; rows alike in all of them share one key and one
-    place.  Null and empty texts have size 0 and give nothing.  An empty table gives no row.
-    """
+    """One row per id, size, source and text hash: its ``copies``, target, whole epochs, and the words
+    that the copies of all rows before it in key order hold, and those left for key order."""
     weighted = quality_weights(labels)
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), word_count(F.col("text")).alias("size"),
         F.col("source").cast("string").alias("source"), F.xxhash64("text").alias("text_hash"),
-    )
+    ).groupBy("doc_id", "size", "source", "text_hash").agg(F.count(F.lit(1)).alias("copies"))
     weight = F.coalesce("__weight", F.lit(2.5))
     key = -F.log(unit_draw(F.lit(seed), F.col("doc_id"), F.col("size"), F.col("source"))) / weight
     rows = durable(
         rows.join(weighted, rows["doc_id"] == weighted["__labelled"], "left")
-        .select("doc_id", "size", "source", "text_hash", key.alias("key")),
+        .select("doc_id", "size", "source", "text_hash", "copies", key.alias("key")),
         "mix-rows",
     )
+    words = F.col("size") * F.col("copies")
     sizes = rows.groupBy("source").agg(
-        F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("__rows")
+        F.sum(words).alias("source_size"), F.count(F.lit(1)).alias("__rows")
     )
     targets = (
         source_targets(sizes, weights, cap)
@@ -118,7 +118,7 @@ def plan_mix(
     )
     earlier = Window.partitionBy("__source", "__none").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = (
-        rows.groupBy("__source", "__none", "__bin").agg(F.sum("size").alias("__bin_size"))
+        rows.groupBy("__source", "__none", "__bin").agg(F.sum(words).alias("__bin_size"))
         .withColumn("__before_bin", F.coalesce(F.sum("__bin_size").over(earlier), F.lit(0)))
         .drop("__bin_size")
     )
@@ -126,26 +126,75 @@ def plan_mix(
         Window.partitionBy("__source", "__none", "__bin").orderBy("key", "doc_id", "size", "text_hash")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = F.col("__before_bin") + F.coalesce(F.sum("size").over(within), F.lit(0))
-    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("__rest") - before))
+    before = F.col("__before_bin") + F.coalesce(F.sum(words).over(within), F.lit(0))
     return rows.join(bins, ["__source", "__none", "__bin"]).select(
+        "doc_id", "size", "source", "source_size", "target", "text_hash", "copies", "__epochs", "__rest",
+        before.alias("__before"),
+    )
+
+
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """A row per copy, numbered from 0 in ``__copy``; many copies are written out by many tasks."""
+    rows = durable(rows, "mix-alike")
+    few = rows.where(F.col("copies") <= COPIES_PER_TASK).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    )
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(COPIES_PER_TASK).cast("long")))
+    last = F.least(F.col("copies"), F.col("__first") + COPIES_PER_TASK) - 1
+    many = (
+        rows.where(F.col("copies") > COPIES_PER_TASK).withColumn("__first", first)
+        .repartition("doc_id", "text_hash", "__first")
+        .withColumn("__copy", F.explode(F.sequence(F.col("__first"), last))).drop("__first")
+    )
+    return few.unionByName(many)
+
+
+def plan_mix(
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    cap: int = MAX_EPOCHS,
+    seed: int = 1,
+    id_col: str = "doc_id",
+) -> DataFrame:
+    """``doc_id, size, source, source_size, target, taken`` and the row's text hash.
+
+    Whole epochs come first; the rest of the target goes to documents in key order, and the last one
+    gives only the words that are still needed, so a source's sum is its target rounded down.  Equal
+    keys are settled by id, size and text hash; rows alike in all of them share one key and one
+    place.  Null and empty texts have size 0 and give nothing.  An empty table gives no row.
+    """
+    rows = _each_copy(_alike(docs, labels, weights, cap, seed, id_col))
+    before = F.col("__before") + F.col("__copy") * F.col("size")
+    part = F.greatest(F.lit(0), F.least(F.col("size"), F.col("__rest") - before))
+    return rows.select(
         "doc_id", "size", "source", "source_size", "target",
         (F.col("__epochs") * F.col("size") + part).cast("long").alias("taken"), "text_hash",
     )
 
 
-def mix_sources(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def mix_sources(
+    docs: DataFrame,
+    labels: DataFrame,
+    weights: tuple[int, ...] = WEIGHTS,
+    cap: int = MAX_EPOCHS,
+    seed: int = 1,
+    id_col: str = "doc_id",
+) -> DataFrame:
     """The documents of the mix with their columns, and ``mix_size, mix_taken`` words.
 
     Documents of which no word is taken are left out.  ``mix_taken`` over ``mix_size`` says how often
-    a document is read, with a last partial reading.  Rows alike in id and text come out as often as
-    they came in.
+    a document is read, with a last partial reading.  Rows alike in id, source and text come out as often
+    as they came in, and share their words evenly, rounded down.
     """
     row, mixed_from, size, taken = (unused(docs, n) for n in ("__row", "__from", "mix_size", "mix_taken"))
-    plan = plan_mix(docs, labels, id_col=id_col, **options).where("taken > 0")
-    chosen = plan.groupBy(row_name(F.col("doc_id"), F.col("text_hash")).alias(row), F.col("source").alias(mixed_from)).agg(
-        F.max("size").alias(size), F.avg("taken").cast("long").alias(taken)
-    )
+    words = F.col("size") * F.col("copies")
+    part = F.greatest(F.lit(0), F.least(words, F.col("__rest") - F.col("__before")))
+    share = F.floor((F.col("__epochs") * words + part) / F.col("copies")).cast("long")
+    chosen = _alike(docs, labels, weights, cap, seed, id_col).select(
+        row_name(F.col("doc_id"), F.col("text_hash")).alias(row), F.col("source").alias(mixed_from),
+        F.col("size").alias(size), share.alias(taken),
+    ).where(F.col(taken) > 0)
     named = docs.withColumn(row, row_name(F.col(id_col), F.xxhash64("text")))
     same_source = named["source"].cast("string").eqNullSafe(chosen[mixed_from])
     joined = named.join(chosen, (named[row] == chosen[row]) & same_source)

@@ -155,6 +155,31 @@ def test_mix_targets_and_takes(spark, make_docs, odd_rows):
     assert source_mix.plan_mix(make_docs([]), labels).count() == 0
 
 
+def test_mix_of_one_row_that_holds_a_third_of_all(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(source_mix, "COPIES_PER_TASK", 7)
+    rows = [(5, "one two three", "en", "a")] * 100 + [(5, "another text here", "en", "a")] * 2 + [
+        (10 + i, "w " * (i % 9), "en", "ab"[i % 2]) for i in range(200)
+    ]
+    labels = spark.createDataFrame([(5, 0, 0)], "doc_id long, quality int, toxic int")
+    docs = make_docs(rows)
+    alike = source_mix._alike(docs, labels, (5, 2, 1), 3, 1, "doc_id")
+    assert sorted(r.copies for r in alike.where("doc_id = 5").collect()) == [2, 100]
+    got = source_mix.plan_mix(docs, labels).collect()
+    assert collections.Counter((r.doc_id, r.size) for r in got) == collections.Counter((i, len(t.split())) for i, t, _, _ in rows)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) < 1.001
+        epochs = int(mine[0].target // mine[0].source_size)
+        assert all(epochs * r.size <= r.taken <= min(3, epochs + 1) * r.size for r in mine)
+        # Only one row is taken in part.
+        assert sum(r.taken % r.size > 0 for r in mine if r.size) <= 1
+    mixed = source_mix.mix_sources(docs, labels)
+    copies = [r.mix_taken for r in mixed.where("text = 'one two three'").collect()]
+    per_copy = [r.taken for r in got if r.doc_id == 5]
+    assert len(copies) in (0, 100) and len(set(copies)) <= 1
+    assert not copies or min(per_copy) <= copies[0] <= max(per_copy)
+
+
 def test_rollup_counts_each_batch_once(spark, make_docs, odd_rows, tmp_path):
     from pyspark.sql import functions as F
 
