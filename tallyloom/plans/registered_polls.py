@@ -14,8 +14,8 @@ from tallyloom.functions.measures import (
     cost_per_unit, day_gap, field_length, theoretical_margin,
 )
 from tallyloom.operators.entity import most_used_per_key
-from tallyloom.operators.reshape import with_settled
 from tallyloom.operators.windows import first_per_key
+from tallyloom.sinks.raw_tables import ROW_ID_COLUMN
 
 NOTICE_DAYS = 5
 # --- fixed values: raw column per output column, and the published fact --------------------
@@ -70,7 +70,9 @@ def _typed(raw: DataFrame) -> DataFrame:
     ]
     generated = F.concat(F.col("DT_GERACAO"), F.lit(" "), F.col("HH_GERACAO"))
     texts = {f"t_{source}": null_sentinels(F.col(source)) for source in sources}
-    settled = with_settled(raw, {**texts, "t_generated": null_sentinels(generated)})
+    # Plain columns, so that Spark drops those a reader does not ask for; a filter of a reader stays
+    # above the choice of the row per protocol and repeats none of them.
+    settled = raw.withColumns({**texts, "t_generated": null_sentinels(generated)})
 
     def text(source: str) -> Column:
         return F.col(f"t_{source}")
@@ -91,24 +93,28 @@ def _typed(raw: DataFrame) -> DataFrame:
     columns["qt_entrevistados"] = positive_int(text("QT_ENTREVISTADO"), cleaned=True)
     columns["vr_pesquisa"] = locale_decimal(text("VR_PESQUISA"), cleaned=True)
     columns["ts_geracao_arquivo_tse"] = moment("generated")
-    return settled.select(
-        *[column.alias(name) for name, column in columns.items()], "_ingerido_em", "_arquivo_origem"
-    )
+    kept = ["_ingerido_em", "_arquivo_origem", *[c for c in raw.columns if c == ROW_ID_COLUMN]]
+    return settled.select(*[column.alias(name) for name, column in columns.items()], *kept)
 
 
 def stage_polls(raw: DataFrame) -> DataFrame:
     """One typed row per protocol: the most recently generated one.
 
-    Ties beyond generation and load time go to the file name and then to the row's content.
+    Ties beyond generation and load time go to the file name and then to the row id kept at
+    landing.  Raw rows without ids are told apart by their whole content, so that a reader of a
+    few columns still reads all of them.
     """
     typed = _typed(raw)
-    return first_per_key(
+    by_id = ROW_ID_COLUMN in typed.columns
+    last = F.asc(ROW_ID_COLUMN) if by_id else F.xxhash64(*typed.columns)
+    first = first_per_key(
         typed, ["nr_protocolo_registro"],
         [
             F.desc_nulls_last("ts_geracao_arquivo_tse"), F.desc_nulls_last("_ingerido_em"),
-            F.asc("_arquivo_origem"), F.xxhash64(*typed.columns),
+            F.asc("_arquivo_origem"), last,
         ],
     )
+    return first.drop(ROW_ID_COLUMN)
 
 
 def classify_polls(polls: DataFrame, notice_days: int = NOTICE_DAYS) -> DataFrame:

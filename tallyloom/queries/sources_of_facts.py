@@ -118,7 +118,7 @@ def raw_polls(spark, sf_dir):
         "DS_SISTEMA_CONTROLE": F.lit("controle"), "DS_DADO_MUNICIPIO": F.lit(""),
         "DT_GERACAO": F.when(older, "31/08/2001").otherwise("01/09/2001"), "HH_GERACAO": F.lit("10:00:00"),
         "_arquivo_origem": F.lit("polls.csv"),
-        "_ingerido_em": F.lit("2001-09-01 12:00:00").cast("timestamp"),
+        "_ingerido_em": F.lit("2001-09-01 12:00:00").cast("timestamp"), "_linha": k,
     }
     return base.select(*[column.alias(name) for name, column in columns.items()])
 

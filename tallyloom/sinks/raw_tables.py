@@ -9,6 +9,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 LOAD_TIME_COLUMN = "_ingerido_em"
+ROW_ID_COLUMN = "_linha"
 # --- fixed values: characters not allowed in a column name, and the name of a nameless one --
 INVALID_NAME_CHARACTERS = re.compile(r"[ ,;{}()\n\t=]+")
 NAMELESS = "coluna"
@@ -37,19 +38,25 @@ def prepare_raw(df: DataFrame) -> DataFrame:
 
 
 def land_table(
-    df: DataFrame, root: str, name: str, publish: bool = True, loaded_at: datetime | None = None
+    df: DataFrame, root: str, name: str, publish: bool = True, loaded_at: datetime | None = None,
+    row_ids: bool = False,
 ) -> int:
     """Write a table to a new version directory, then point readers at it; returns its rows.
 
     Rows are counted while they are written.  An empty extract is refused before readers see it.
-    ``publish=False`` writes the files and leaves the published version alone.
+    ``publish=False`` writes the files and leaves the published version alone.  ``row_ids`` keeps
+    a number made of each row's content, the same at every load, so that later choices between
+    rows need not read them whole; rows alike in all columns share one.
     """
     loaded_at = loaded_at or datetime.now(timezone.utc)
     spark = df.sparkSession
     observation = Observation()
     version = f"{loaded_at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     path = f"{root.rstrip('/')}/{name}/{version}"
-    stamped = prepare_raw(df).withColumn(LOAD_TIME_COLUMN, F.lit(loaded_at).cast("timestamp"))
+    prepared = prepare_raw(df)
+    if row_ids:
+        prepared = prepared.withColumn(ROW_ID_COLUMN, F.xxhash64(*prepared.columns))
+    stamped = prepared.withColumn(LOAD_TIME_COLUMN, F.lit(loaded_at).cast("timestamp"))
     stamped.observe(observation, F.count(F.lit(1)).alias("rows")).write.option(
         "compression", "snappy"
     ).parquet(path)
