@@ -102,7 +102,7 @@ def _raw_results(spark, sf_dir):
         F.date_format("ts", "dd/MM/yyyy HH:mm:ss").alias("DT_TOTALIZACAO"),
         F.concat((F.col("event_id") % 2 + 1).cast("string"), F.lit("T")).alias("TURNO"),
         shown(value).alias("ALPHA_ONE_PE_VOTOS_TOT_ACUMULADO"),
-        F.when(even, shown(F.col("user_id").cast("decimal(12,8)") / 100000)).otherwise("").alias(
+        F.when(even, shown(F.col("user_id").cast("decimal(20,0)") / 100000)).otherwise("").alias(
             "Beta_PE_Votos_Tot_Acumulado"
         ),
         F.lit("0,5").alias("BRANCO_PE_VOTOS_TOT_ACUMULADO"), F.lit("0,5").alias("NULO_PE_VOTOS_TOT_ACUMULADO"),
