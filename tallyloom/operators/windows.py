@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
+from tallyloom.operators.joins import attach_group_values
 from tallyloom.operators.numbering import number_rows
 
 # Rows of one window task when a series is cut into ranges.
@@ -82,23 +83,20 @@ def moving_average(
     """Centred moving average, only for series with at least ``min_points`` points.
 
     As it stands it is meant for day series: one row per series and day, so a series stays
-    small.  ``range_rows`` cuts series of any length into ranges of that many rows.  Each range
-    then sees ``min_points - 1`` rows more on either side, enough to tell whether a series has
-    enough points: what it sees of a series is the whole of it, or at least that many.
+    small.  ``range_rows`` cuts series of any length into ranges of that many rows.  The points of
+    a series are then counted beforehand, and a range sees ``half_width`` rows more on either side.
     """
     order = [order] if isinstance(order, str) else list(order)
-
-    def mean(window: WindowSpec, seen: WindowSpec) -> dict[str, Column]:
-        around = window.rowsBetween(-half_width, half_width)
-        return {name: F.when(F.count(F.lit(1)).over(seen) >= min_points, F.avg(value).over(around))}
-
     if range_rows is None:
         by_series = Window.partitionBy(*series)
-        return df.withColumns(mean(by_series.orderBy(*order), by_series))
-    sight = max(min_points - 1, 0)
+        mean = F.avg(value).over(by_series.orderBy(*order).rowsBetween(-half_width, half_width))
+        return df.withColumn(name, F.when(F.count(F.lit(1)).over(by_series) >= min_points, mean))
+    counted = attach_group_values(df, series, __points=F.count(F.lit(1)))
+    enough = counted.withColumn("__enough", F.col("__points") >= min_points).drop("__points")
+
+    def mean_of_enough(window: WindowSpec) -> dict[str, Column]:
+        return {name: F.when(F.col("__enough"), F.avg(value).over(window.rowsBetween(-half_width, half_width)))}
+
     return windows_in_ranges(
-        df, series, [F.asc(c) for c in order], max(half_width, sight), max(half_width, sight),
-        lambda window: mean(
-            window, window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        ), range_rows,
-    )
+        enough, series, [F.asc(c) for c in order], half_width, half_width, mean_of_enough, range_rows
+    ).drop("__enough")
