@@ -58,3 +58,17 @@ def test_no_rows_and_wrong_reach(spark):
     assert moving_average(empty, ["s"], "place", "v", "mean", range_rows=5).count() == 0
     with pytest.raises(ValueError):
         windows_in_ranges(empty, ["s"], [F.asc("place")], -1, 0, lambda w: {})
+
+
+def test_ranges_of_a_mean_see_half_its_width(spark, monkeypatch):
+    asked = []
+
+    def ranges(df, series, order, before, after, *rest):
+        asked.append((before, after))
+        return windows_in_ranges(df, series, order, before, after, *rest)
+
+    monkeypatch.setattr("tallyloom.operators.windows.windows_in_ranges", ranges)
+    df = spark.range(40).selectExpr("id % 2 AS s", "id", "id * 3 AS v")
+    cut = moving_average(df, ["s"], "id", "v", "mean", 2, 15, 6)
+    assert asked == [(2, 2)]
+    assert rows_of(cut) == rows_of(moving_average(df, ["s"], "id", "v", "mean", 2, 15))
