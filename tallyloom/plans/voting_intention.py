@@ -42,22 +42,19 @@ def stage_cells(raw: DataFrame) -> DataFrame:
     wanted = raw.filter(
         (F.trim(institute) != "") & (F.trim(period) != "") & (F.trim(institute) != F.trim(period))
     )
-    cleaned = with_settled(wanted.select(*RAW_COLUMNS), {
+    # A filter stands right behind the column it looks at, so dropped rows are typed no further.
+    valued = with_settled(wanted.select(*RAW_COLUMNS), {
         "tabela": F.col("tabela_idx").cast("int"),
-        "nm_instituto_origem": strip_markup(institute),
-        "periodo": strip_markup(period),
-        "coluna": strip_markup(F.col("coluna_candidato")),
-        "qt_amostra": digits_only(strip_markup(F.col("amostra_texto")), "int"),
-        "pc_margem_erro": first_number(strip_markup(F.col("margem_texto")), "decimal(5,2)"),
         "pc_valor": first_number(F.col("valor_texto"), "decimal(9,2)"),
-    })
-    kept = with_settled(cleaned.filter(F.col("pc_valor").between(*SHARE_BOUNDS)), {
-        "tp_resposta": classify_answer(F.col("coluna")),
-        "__days": period_days(F.col("periodo")),
-        "__months": period_months(F.col("periodo")),
-    }).filter(
-        (F.col("tp_resposta") != ARTEFACT) & (F.size("__days") > 0) & (F.size("__months") > 0)
+    }).filter(F.col("pc_valor").between(*SHARE_BOUNDS))
+    named = with_settled(valued, {"coluna": strip_markup(F.col("coluna_candidato"))})
+    answered = with_settled(named, {"tp_resposta": classify_answer(F.col("coluna"))}).filter(
+        F.col("tp_resposta") != ARTEFACT
     )
+    dated = with_settled(answered, {"periodo": strip_markup(period)})
+    kept = with_settled(dated, {
+        "__days": period_days(F.col("periodo")), "__months": period_months(F.col("periodo")),
+    }).filter((F.size("__days") > 0) & (F.size("__months") > 0))
     loaded = F.to_date("_ingerido_em")
 
     def boundary(position: int):
@@ -65,11 +62,12 @@ def stage_cells(raw: DataFrame) -> DataFrame:
         return roll_back_future(plain, loaded)
 
     return kept.select(
-        F.col("tabela").alias("tabela_idx"), "nm_instituto_origem",
+        F.col("tabela").alias("tabela_idx"), strip_markup(institute).alias("nm_instituto_origem"),
         F.col("periodo").alias("periodo_texto"),
         boundary(1).alias("dt_inicio_campo"), boundary(-1).alias("dt_fim_campo"),
-        "qt_amostra", "pc_margem_erro", F.col("coluna").alias("coluna_candidato"), "tp_resposta",
-        "pc_valor", "_ingerido_em",
+        digits_only(strip_markup(F.col("amostra_texto")), "int").alias("qt_amostra"),
+        first_number(strip_markup(F.col("margem_texto")), "decimal(5,2)").alias("pc_margem_erro"),
+        F.col("coluna").alias("coluna_candidato"), "tp_resposta", "pc_valor", "_ingerido_em",
     )
 
 
@@ -115,8 +113,9 @@ def standardise(
     }).drop("__standard", "__review")
     # Read for the sets and for the rows; the joins and keys before it are worth one write.
     keyed = durable(keyed, "keyed-cells")
+    # The poll's key first: sorts compare its first bytes, which tell most polls apart.
     scenarios = member_set_key(
-        keyed, ["tabela_idx", "id_pesquisa"], "nm_candidato", "id_pesquisa", "id_cenario"
+        keyed, ["id_pesquisa", "tabela_idx"], "nm_candidato", "id_pesquisa", "id_cenario"
     )
     return first_per_key(
         scenarios, ["id_cenario", "nm_candidato"],
