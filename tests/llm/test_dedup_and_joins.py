@@ -289,3 +289,54 @@ def test_sketches_never_rule_out_what_two_sets_share():
         apart = [ngram_join._sketch(draw.integers(0, 1 << 40, size)) for _ in range(2)]
         bound = ngram_join._Sketches(np.array(apart, object)).common(np.array([0]), np.array([1]))
         assert 7 * bound[0] < 6 * size
+
+
+@pytest.mark.parametrize("piece", [4096, 8])
+def test_edited_passages_are_found_among_many_that_share_a_part(make_docs, monkeypatch, piece):
+    monkeypatch.setattr(passage_dedup, "PIECE", piece)
+    rng = random.Random(14)
+    fresh = lambda n: [f"e{rng.random()}" for _ in range(n)]
+    boiler, rows = fresh(35), []
+    tails = [fresh(25) for _ in range(12)]
+    for i in range(72):
+        tail = tails[i // 6] if i % 6 in (1, 4) else fresh(25)
+        if i % 6 == 4:
+            tail = tail[:12] + fresh(1) + tail[13:]
+        rows.append((i, " ".join(fresh(40) + boiler + tail + fresh(40)), "en", "a"))
+    assert not shared_runs(rows)
+    got = passage_dedup.repeated_passages(make_docs(rows)).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in got} == {frozenset((6 * g + 1, 6 * g + 4)) for g in range(12)}
+    texts = {i: t.split() for i, t, *_ in rows}
+    for r in got:
+        a, b = (shingles(" ".join(texts[i][p:q])) for i, p, q in (
+            (r.doc_id, r.first_word, r.last_word), (r.other_id, r.other_first, r.other_last)
+        ))
+        assert len(a & b) / len(a | b) == pytest.approx(r.similarity) and r.similarity >= 0.75
+
+
+def test_every_text_of_many_edited_passages_is_connected(make_docs):
+    rng = random.Random(15)
+    fresh = lambda n: [f"c{rng.random()}" for _ in range(n)]
+    passage, rows = fresh(60), []
+    for i in range(50):
+        at = rng.randrange(15, 45)
+        rows.append((i, " ".join(fresh(45) + passage[:at] + fresh(1) + passage[at + 1 :] + fresh(45)), "en", "a"))
+    # Edited twice, so like some of the others only.
+    rows.append((50, " ".join(fresh(45) + passage[:20] + fresh(1) + passage[21:40] + fresh(1) + passage[41:] + fresh(45)), "en", "a"))
+    # Any two shared shingle sets of the passage, cut to 50 words or more, that meet the threshold.
+    texts = [t.split() for _, t, *_ in rows]
+
+    def alike(x, y):
+        return any(
+            len(a & b) * 4 >= 3 * len(a | b)
+            for first in range(45, 56) for last in range(first + 50, 106)
+            for a, b in [(shingles(" ".join(x[first:last])), shingles(" ".join(y[first:last])))]
+        )
+
+    links = [(i, j) for i in range(51) for j in range(i) if (i + j) % 3 == 0 and alike(texts[i], texts[j])]
+    got = passage_dedup.repeated_passages(make_docs(rows)).collect()
+    label = list(range(51))
+    for r in got:
+        a, b = label[r.doc_id], label[r.other_id]
+        label = [min(a, b) if v in (a, b) else v for v in label]
+    assert links and all(label[i] == label[j] for i, j in links)
