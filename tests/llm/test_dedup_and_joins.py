@@ -340,3 +340,27 @@ def test_every_text_of_many_edited_passages_is_connected(make_docs):
         a, b = label[r.doc_id], label[r.other_id]
         label = [min(a, b) if v in (a, b) else v for v in label]
     assert links and all(label[i] == label[j] for i, j in links)
+
+
+def test_zones_of_repeated_words_are_compared_only_where_they_can_be_similar(monkeypatch):
+    rng = np.random.default_rng(8)
+    numbers, zones = {}, []
+    for _ in range(90):
+        words = [0] * rng.integers(24, 48)
+        while len(words) < 57:
+            words += [int(rng.integers(1, 7))] * rng.integers(1, 14)
+        row = [numbers.setdefault(tuple(words[k : k + 5]), len(numbers)) for k in range(53)]
+        zones.append(np.array(row, "<u4").tobytes())
+    keys, none = np.arange(90), np.zeros(90, np.int64)
+    calls, segments = [], passage_dedup.segments
+    monkeypatch.setattr(passage_dedup, "segments", lambda *a: calls.append(1) or segments(*a))
+    run = passage_dedup._shared(46, 0.75)[1]
+    made = passage_dedup._Zones(keys, none, keys, none, none, np.array(zones, object), 46, 0.75, run)
+    rows = made.rows()
+    assert len(calls) < 400
+    # Every zone shares the run of the first word; pairs that link whichever of the two comes first.
+    plain = [np.frombuffer(z, "<u4").astype(np.int64) for z in zones]
+    alike = lambda i, j: segments(plain[i], plain[j], 46, 0.75)
+    links = {(i, j) for i in range(90) for j in range(i) if alike(i, j) and alike(j, i)}
+    assert len(links) > 10 and all(made._root(i) == made._root(j) for i, j in links)
+    assert len(rows) < len(links) + 90
