@@ -364,3 +364,30 @@ def test_zones_of_repeated_words_are_compared_only_where_they_can_be_similar(mon
     links = {(i, j) for i in range(90) for j in range(i) if alike(i, j) and alike(j, i)}
     assert len(links) > 10 and all(made._root(i) == made._root(j) for i, j in links)
     assert len(rows) < len(links) + 90
+
+
+def test_words_of_connected_zones_are_all_in_rows():
+    rng = np.random.default_rng(21)
+    fresh = lambda n: rng.integers(0, 1 << 32, n, dtype="<u4")
+    zones = []
+    for _ in range(6):
+        passage, other = fresh(105), fresh(50)
+        edited = passage[20:].copy()
+        edited[36:41] = fresh(5)
+        # Rows join the first two by the beginning of the passage and the last two by other words.
+        zones += [passage, np.concatenate([passage[:50], other]), np.concatenate([edited, other])]
+    n = len(zones)
+    keys, at, none = np.arange(n), np.arange(n) * 1000, np.zeros(n, np.int64)
+    run = passage_dedup._shared(46, 0.75)[1]
+    made = passage_dedup._Zones(keys, at, keys, at, none, np.array([z.tobytes() for z in zones], object), 46, 0.75, run)
+    held = collections.defaultdict(set)
+    for x, y, a, b, c, d, _ in made.rows():
+        held[x].update(range(a - at[x], b - at[x] - 4))
+        held[y].update(range(c - at[y], d - at[y] - 4))
+    found = 0
+    for i in range(n):
+        for j in range(i):
+            for a, b, c, d, _ in passage_dedup.segments(zones[i].astype(np.int64), zones[j].astype(np.int64), 46, 0.75):
+                found += 1
+                assert held[i] >= set(range(a, b)) and held[j] >= set(range(c, d))
+    assert found == 6 * 3
